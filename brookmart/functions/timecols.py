@@ -40,5 +40,5 @@ def window_texts(df, window="window"):
 
 
 def day_of(ms):
-    """Day text of an epoch-millisecond column."""
-    return F.date_format(F.timestamp_millis(ms), DAY)
+    """Day (a date in the session zone) of an epoch-millisecond column."""
+    return F.timestamp_millis(ms).cast("date")

@@ -10,13 +10,15 @@ KINDS = ["err", "start", "page", "display", "action"]
 
 
 def parse_log(df_text):
-    """Parse log text once; `_bad` holds the text of malformed records."""
+    """Parse log text once; `_bad` holds the text of malformed records.
+
+    The record is unpacked by a generator. As a projection, its parse would be
+    repeated in every later filter that the optimizer moves below it. Null values
+    give a row without content, which is neither clean nor dirty.
+    """
     record = F.from_json("value", f"{LOG}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
-    parsed = df_text.filter(F.col("value").isNotNull()).select("value", record.alias("r"))
-    return parsed.select("value", *[F.col(f"r.{c}").alias(c) for c in
-                                    ("common", "page", "start", "err", "displays", "actions")],
-                         F.expr("try_cast(r.ts AS bigint)").alias("ts"),
-                         F.col("r._bad").alias("_bad"))
+    parsed = df_text.select("value", F.inline(F.array(record)))
+    return parsed.withColumn("ts", F.expr("try_cast(ts AS bigint)"))
 
 
 def _is_dirty():
@@ -27,7 +29,7 @@ def _is_dirty():
 def split_dirty(parsed):
     """(clean records, dirty text). Dirty: malformed, or without visitor or time."""
     clean = parsed.filter(~_is_dirty()).drop("value", "_bad")
-    return clean, parsed.filter(_is_dirty()).select("value")
+    return clean, parsed.filter(_is_dirty() & F.col("value").isNotNull()).select("value")
 
 
 def with_is_new(common, fixed):

@@ -25,7 +25,9 @@ class Tables:
     def __getattr__(self, name):
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         times = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
-        return df.withColumns({c: F.col(c).cast("timestamp") for c in times}) if times else df
+        df = df.withColumns({c: F.col(c).cast("timestamp") for c in times}) if times else df
+        setattr(self, name, df)
+        return df
 
 
 def change(df, table, type_, data, ts, old=None, extra=()):
