@@ -135,6 +135,19 @@ def keywords(length):
     select {bounds('start', length)}, keyword, count(*) as keyword_count from cut group by start, keyword"""
 
 
+NO = "cast(null as varchar)"
+
+RECORDS = f"""with {LOG}
+select 'dwd_err' as topic, {NO} as mid, {NO} as is_new, {NO} as page_id, {NO} as ts, {NO} as start_k,
+  {text('k')} as code, {NO} as pos, {NO} as action_id from fixed where event_type = 'error'
+union all select 'dwd_start', mid, is_new, null, {text('ts')}, {text('k')}, null, null, null from fixed
+  where event_type = 'signup'
+union all select 'dwd_page', mid, is_new, page_id, {text('ts')}, null, null, null, null from pages
+union all select 'dwd_display', mid, is_new, page_id, {text('ts')}, null, null, {text('unnest([0, 1])')}, null from pages
+  where event_type = 'purchase'
+union all select 'dwd_action', mid, is_new, page_id, {text('ts')}, null, null, null, {text('k')} from pages
+  where event_type = 'purchase'"""
+
 # --- products -------------------------------------------------------------------
 
 SKU = f"""
@@ -239,6 +252,7 @@ SQL = {
         case when event_type = 'purchase' then '{{"pos":0}};{{"pos":1}}' end as displays,
         case when event_type = 'purchase' then '{{"id":' || k || '}}' end as actions, ts from log""",
     "fix_is_new": f"with {LOG} select mid, is_new, ts from fixed",
+    "log_records": RECORDS,
     "log_err": f"with {LOG} select '{{\"code\":' || k || '}}' as err from fixed where event_type = 'error'",
     "log_start": f"""with {LOG} select mid, is_new, '{{"entry":"icon","k":' || k || '}}' as start, ts
         from fixed where event_type = 'signup'""",
@@ -347,3 +361,10 @@ SQL = {
     "stream_sku_window": f"""with {SKU}, {SKU_WINDOW} select * from sums
         where edt <= (select strftime(make_timestamp(max(ts) * 1000000), {STAMP}) from ranked)""",
 }
+
+# Streams that end in a store hold the same rows as the batch form.
+SQL["stream_upsert_latest"] = SQL["upsert_latest"]
+SQL["stream_log_records"] = SQL["log_records"]
+SQL["stream_base_db_route"] = SQL["base_db_route"]
+SQL["stream_dim_sync"] = SQL["dim_sync"]
+SQL["stream_pay_success"] = SQL["dwd_pay_success"]

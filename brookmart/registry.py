@@ -15,9 +15,12 @@ from brookmart.sinks import topics as topic_sinks
 from brookmart.sources import rules as rule_sources
 from brookmart.sources import topics
 from brookmart.sources.tables import dictionary, literal_rows
-from brookmart.streaming.jobs import rows_to, run_stream
+from brookmart.streaming.jobs import (dims_to, log_split_stream, read_dims, records_to, routed_to, rows_to,
+                                     run_stream, upsert_to)
 
 AMOUNTS = list(SKU_AMOUNTS.values())
+ORDER_TABLES = ["order_detail", "order_info", "order_detail_activity", "order_detail_coupon"]
+REFUND_TABLES = ["order_info", "order_refund_info"]
 QUERIES = {}
 
 
@@ -71,7 +74,7 @@ def page_log(spark, t):
 
 @query
 def order_detail_source(spark, t):
-    text = topic_sinks.upsert_records(trade.order_detail(V.ods(t)), ["id"]).select("value")
+    text = topic_sinks.upsert_records(trade.order_detail(V.ods(t, *ORDER_TABLES)), ["id"]).select("value")
     return topics.read_order_detail(text).select(
         "id", "order_id", "activity_id", "split_original_amount", "ts",
         F.date_format("et", "yyyy-MM-dd HH:mm:ss").alias("et"))
@@ -204,33 +207,44 @@ def log_action(spark, t):
     return _flat_page(traffic.split_logs(V.log_text(t))["action"], "action")
 
 
+def _record_fields(records):
+    """Some members of the JSON records, to compare them by."""
+    member = lambda path, name: F.get_json_object("value", f"$.{path}").alias(name)
+    return records.select(
+        "topic", member("common.mid", "mid"), member("common.is_new", "is_new"), member("page.page_id", "page_id"),
+        member("ts", "ts"), member("start.k", "start_k"), member("code", "code"),
+        member("display.pos", "pos"), member("action.id", "action_id"))
+
+
 @query
 def log_records(spark, t):
-    return logs.log_records(traffic.cleaned_log(V.log_text(t))).groupBy("topic").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars"))
+    return _record_fields(logs.log_records(traffic.cleaned_log(V.log_text(t))))
 
 
 # --- joins ----------------------------------------------------------------------
 
 @query
 def join_inner(spark, t):
-    detail = cdc.branch(V.ods(t), "order_detail", "insert", ["id", "order_id", "sku_id"]).drop("et")
-    info = cdc.branch(V.ods(t), "order_info", "insert", {"oi_id": "id", "user_id": "user_id"}, keep=()).drop("et")
+    ods = V.ods(t, "order_detail", "order_info")
+    detail = cdc.branch(ods, "order_detail", "insert", ["id", "order_id", "sku_id"]).drop("et")
+    info = cdc.branch(ods, "order_info", "insert", {"oi_id": "id", "user_id": "user_id"}, keep=()).drop("et")
     return joins.fact_join(detail, info, [("order_id", "oi_id")]).drop("oi_id")
 
 
 @query
 def join_left(spark, t):
-    detail = cdc.branch(V.ods(t), "order_detail", "insert", ["id", "sku_id"]).drop("et")
-    coupon = cdc.branch(V.ods(t), "order_detail_coupon", "insert", {"cou_id": "order_detail_id", "coupon_id": "coupon_id"},
+    ods = V.ods(t, "order_detail", "order_detail_coupon")
+    detail = cdc.branch(ods, "order_detail", "insert", ["id", "sku_id"]).drop("et")
+    coupon = cdc.branch(ods, "order_detail_coupon", "insert", {"cou_id": "order_detail_id", "coupon_id": "coupon_id"},
                         keep=()).drop("et")
     return joins.fact_join(detail, coupon, [("id", "cou_id")], "left").drop("cou_id")
 
 
 @query
 def interval_join(spark, t):
-    detail = cdc.branch(V.ods(t), "order_detail", "insert", ["id", "order_id"])
-    paid = (cdc.branch(V.ods(t), "payment_info", "update", {"pay_order": "order_id"}, keep=())
+    ods = V.ods(t, "order_detail", "payment_info")
+    detail = cdc.branch(ods, "order_detail", "insert", ["id", "order_id"])
+    paid = (cdc.branch(ods, "payment_info", "update", {"pay_order": "order_id"}, keep=())
             .withColumnRenamed("et", "pay_et"))
     found = joins.interval_join(detail, paid, [("order_id", "pay_order")], -1800, 5, "et", "pay_et")
     return found.select("id", "order_id", F.unix_timestamp("et").alias("order_s"), F.unix_timestamp("pay_et").alias("pay_s"))
@@ -348,42 +362,42 @@ def base_db_route(spark, t):
 
 @query
 def dwd_comment_info(spark, t):
-    return trade.comments(V.ods(t), V.dictionary(spark))
+    return trade.comments(V.ods(t, "comment_info"), V.dictionary(spark))
 
 
 @query
 def dwd_cart_add(spark, t):
-    return trade.cart_additions(V.ods(t))
+    return trade.cart_additions(V.ods(t, "cart_info"))
 
 
 @query
 def dwd_order_detail(spark, t):
-    return trade.order_detail(V.ods(t))
+    return trade.order_detail(V.ods(t, *ORDER_TABLES))
 
 
 def _detail_source(t):
     """The order-detail fact with event time, as its consumers read it."""
-    return trade.order_detail(V.ods(t)).withColumn("et", F.timestamp_seconds("ts"))
+    return trade.order_detail(V.ods(t, *ORDER_TABLES)).withColumn("et", F.timestamp_seconds("ts"))
 
 
 @query
 def dwd_order_cancel(spark, t):
-    return trade.order_cancel(_detail_source(t), V.ods(t))
+    return trade.order_cancel(_detail_source(t), V.ods(t, "order_info"))
 
 
 @query
 def dwd_pay_success(spark, t):
-    return trade.pay_success(_detail_source(t), V.ods(t), V.dictionary(spark))
+    return trade.pay_success(_detail_source(t), V.ods(t, "payment_info"), V.dictionary(spark))
 
 
 @query
 def dwd_order_refund(spark, t):
-    return trade.order_refund(V.ods(t), V.dictionary(spark))
+    return trade.order_refund(V.ods(t, *REFUND_TABLES), V.dictionary(spark))
 
 
 @query
 def dwd_refund_pay(spark, t):
-    return trade.refund_pay(V.ods(t), V.dictionary(spark))
+    return trade.refund_pay(V.ods(t, *REFUND_TABLES), V.dictionary(spark))
 
 
 @query
@@ -450,11 +464,65 @@ def stream_home_detail(spark, t):
     return drain(spark, traffic.home_detail_window(_page_stream(spark, t)), "home")
 
 
+def _stream_of(spark, t, *names):
+    """The test tables, with the named ones read as streams."""
+    tables = V.Tables(spark, t.folder)
+    for name in names:
+        schema = spark.read.parquet(f"{t.folder}/{name}.parquet").schema
+        stream = spark.readStream.schema(schema).parquet(f"{t.folder}/{name}.parquet*")
+        times = [f.name for f in schema.fields if f.dataType.typeName() == "timestamp_ntz"]
+        setattr(tables, name, stream.withColumns({c: F.col(c).cast("timestamp") for c in times}) if times else stream)
+    return tables
+
+
+def _run(stream, write_batch, folder):
+    run_stream(stream, write_batch, f"{folder}/checkpoint", drain=True).awaitTermination()
+
+
 @query
 def stream_sku_window(spark, t):
-    schema = spark.read.parquet(f"{t.folder}/lineitem.parquet").schema
-    stream = V.Tables(spark, t.folder)
-    stream.lineitem = (spark.readStream.schema(schema).parquet(f"{t.folder}/lineitem.parquet*")
-                       .withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")))
-    details = with_event_time(retract.to_amounts(V.sku_details(stream), SKU_AMOUNTS), "ts", "s")
-    return drain(spark, windows.sku_window(details, "id", V.VERSION, AMOUNTS), "sku")
+    details = retract.to_amounts(V.sku_details(_stream_of(spark, t, "lineitem")), SKU_AMOUNTS)
+    return drain(spark, windows.sku_window(with_event_time(details, "ts", "s"), "id", V.VERSION, AMOUNTS), "sku")
+
+
+@query
+def stream_upsert_latest(spark, t):
+    folder = work_folder(spark, "upsert")
+    _run(V.sku_details(_stream_of(spark, t, "lineitem")), upsert_to(f"{folder}/log", ["id"], V.VERSION), folder)
+    return topic_sinks.read_upsert(spark, f"{folder}/log", "id", V.VERSION)
+
+
+@query
+def stream_log_records(spark, t):
+    folder = work_folder(spark, "records")
+    records, _ = log_split_stream(_event_stream(spark, t))
+    _run(records, records_to({"format": "text", "path": f"{folder}/out"}), folder)
+    return _record_fields(spark.read.text(f"{folder}/out"))
+
+
+@query
+def stream_base_db_route(spark, t):
+    folder = work_folder(spark, "route")
+    _run(V.source_changes(_stream_of(spark, t, "orders", "lineitem")),
+         routed_to(lambda: V.fact_rules(spark), {"format": "text", "path": f"{folder}/out"}), folder)
+    return spark.read.text(f"{folder}/out").select("topic", "value")
+
+
+@query
+def stream_dim_sync(spark, t):
+    folder = work_folder(spark, "dims")
+    _run(V.part_changes(_stream_of(spark, t, "part", "supplier")),
+         dims_to(lambda: V.dim_rules(spark), f"{folder}/log", V.DATABASE), folder)
+    return read_dims(spark, f"{folder}/log").select("sink_table", "row_key", F.explode("data").alias("column_name", "value"))
+
+
+@query
+def stream_pay_success(spark, t):
+    folder = work_folder(spark, "pay")
+    facts = topic_sinks.upsert_records(trade.order_detail(V.ods(t, *ORDER_TABLES)), ["id"])
+    facts.select("value").write.mode("overwrite").parquet(f"{folder}/details")
+    text = topics.read_text_topic(spark, "details", {"format": "parquet", "path": f"{folder}/details"})
+    payments = V.payment_updates(_stream_of(spark, t, "orders"))
+    paid = trade.pay_success(topics.read_order_detail(text, "3 seconds"), with_event_time(payments, "ts", "s"),
+                             V.dictionary(spark))
+    return drain(spark, paid, "paid")

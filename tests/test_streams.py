@@ -1,0 +1,208 @@
+"""Streaming forms: equal to batch, safe to restart, late rows dropped."""
+import json
+
+import pytest
+from helpers import CDC, DAY_MS, log, rows_of, write_files
+from pyspark.sql import functions as F
+
+from brookmart.functions.timecols import gate, with_event_time
+from brookmart.operators import logs, retract, visits, windows
+from brookmart.plans import trade, traffic
+from brookmart.sinks import topics as sinks
+from brookmart.sources import topics
+from brookmart.streaming import jobs
+
+
+def text_stream(spark, folder, per_batch=1):
+    return topics.read_text_topic(spark, "t", {"format": "text", "path": folder, "maxFilesPerTrigger": per_batch})
+
+
+def run(spark, df, folder, writer=None, mode="append"):
+    job = jobs.run_stream(df, writer or jobs.rows_to(f"{folder}/out"), f"{folder}/check", drain=True, mode=mode)
+    job.awaitTermination()
+    if writer is None:
+        return spark.read.schema(df.schema).parquet(f"{folder}/out/batch_id=*")
+
+
+def pages_stream(spark, folder):
+    clean, _ = logs.split_dirty(logs.parse_log(text_stream(spark, folder)))
+    return with_event_time(logs.split_log(clean)["page"])
+
+
+BATCHES = [
+    [log("a", 1000), log("a", 2000, page="good_detail"), log("b", 3000, last="home")],
+    [log("a", 11_000), log("b", 12_500, page="good_detail"), log("c", 13_000, is_new="0")],
+    [log("a", DAY_MS + 1000, last="x"), log("c", DAY_MS + 1500)],
+    [log("z", 2 * DAY_MS, page="payment")],
+]
+
+
+def test_fix_is_new_and_restart(spark, tmp_path):
+    source = str(tmp_path / "in")
+    write_files(source, BATCHES[:2])
+
+    def fixed(stream):
+        return logs.fix_is_new(logs.split_dirty(logs.parse_log(stream))[0]).select(
+            F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"), "ts")
+
+    run(spark, fixed(text_stream(spark, source)), str(tmp_path))
+    write_files(source, BATCHES)
+    out = run(spark, fixed(text_stream(spark, source)), str(tmp_path))
+    batch = fixed(spark.read.text(source))
+    assert rows_of(out, "mid", "is_new", "ts") == rows_of(batch, "mid", "is_new", "ts")
+    assert ("a", "0", DAY_MS + 1000) in rows_of(out, "mid", "is_new", "ts")
+
+
+def test_first_of_day_over_batches(spark, tmp_path):
+    source = str(tmp_path / "in")
+    write_files(source, BATCHES)
+    out = run(spark, visits.first_of_day(logs.pages(pages_stream(spark, source)), ["mid"], flag="uv"), str(tmp_path))
+    assert rows_of(out.filter("uv = 1"), "mid", "ts") == [
+        ("a", 1000), ("a", DAY_MS + 1000), ("b", 3000), ("c", 13_000), ("c", DAY_MS + 1500), ("z", 2 * DAY_MS)]
+    assert out.count() == 9
+
+
+@pytest.mark.parametrize("plan", [traffic.traffic_window, traffic.home_detail_window])
+def test_windows_equal_batch(spark, tmp_path, plan):
+    source = str(tmp_path / "in")
+    write_files(source, BATCHES)
+    out = run(spark, plan(pages_stream(spark, source)), str(tmp_path))
+    clean, _ = logs.split_dirty(logs.parse_log(spark.read.text(source)))
+    batch = plan(logs.split_log(clean)["page"]).filter(f"edt < '1970-01-03'")
+    assert rows_of(out, *batch.columns) == rows_of(batch, *batch.columns)
+    assert out.count() > 0
+
+
+def test_home_detail_windows_close_although_other_pages_are_filtered(spark, tmp_path):
+    """Rows of other pages must still advance the watermark."""
+    source = str(tmp_path / "in")
+    write_files(source, [[log("a", 1000)], [log("a", 60_000, page="payment")]])
+    out = run(spark, traffic.home_detail_window(pages_stream(spark, source)), str(tmp_path))
+    assert rows_of(out, "stt", "home_uv_ct") == [("1970-01-01 00:00:00", 1)]
+
+
+def test_late_row_is_dropped(spark, tmp_path):
+    source = str(tmp_path / "in")
+    write_files(source, [[log("a", 1000)], [log("a", 60_000)], [log("a", 61_000)], [log("b", 2000)], [log("a", 120_000)]])
+    counts = with_event_time(logs.pages(logs.split_log(logs.split_dirty(logs.parse_log(
+        text_stream(spark, source)))[0])["page"])).groupBy(F.window("et", "10 seconds")).count()
+    out = run(spark, counts.select(F.unix_timestamp("window.start").alias("s"), "count"), str(tmp_path))
+    assert rows_of(out, "s", "count") == [(0, 1), (60, 2)]
+
+
+def test_retraction_stream_equals_batch(spark, tmp_path):
+    def detail(id_, amount, ts, v):
+        return json.dumps({"id": id_, "sku_id": "s", "a": amount, "ts": ts, "v": v})
+    source = str(tmp_path / "in")
+    write_files(source, [[detail("1", "10", 1, 1), detail("2", "7", 2, 1), detail("1", "11", 3, 2)],
+                         [detail("1", "9", 5, 4), detail("1", "8", 4, 3)], [detail("3", "1", 100, 1)]])
+    schema = "id string, sku_id string, a string, ts bigint, v int"
+
+    def rows(text):
+        parsed = topics.parse_json_topic(text, schema)
+        return with_event_time(retract.to_amounts(parsed, {"a": "amount"}), "ts", "s")
+
+    out = run(spark, retract.retract_updates(rows(text_stream(spark, source)), "id", "v", ["amount"]), str(tmp_path / "1"))
+    batch = retract.retract_updates(rows(spark.read.text(source)), "id", "v", ["amount"])
+    assert rows_of(out, "id", "amount", "ts") == rows_of(batch, "id", "amount", "ts")
+    sums = run(spark, windows.sku_window(rows(text_stream(spark, source)), "id", "v", ["amount"]), str(tmp_path / "2"))
+    assert [(r["sku_id"], int(r["amount"])) for r in sums.collect()] == [("s", 9 + 7)]
+
+
+def change(table, type_, data, ts, old=None):
+    return json.dumps({"database": "shop", "table": table, "type": type_, "data": data, "old": old, "ts": ts})
+
+
+def test_gate_keeps_event_time_moving(spark, tmp_path):
+    """A left join whose right branch never matches still emits its left rows."""
+    source = str(tmp_path / "in")
+    write_files(source, [[change("l", "insert", {"id": "1"}, 1)], [change("l", "insert", {"id": "2"}, 100_000)],
+                         [change("l", "insert", {"id": "3"}, 200_000)]])
+    ods = topics.read_ods_db(text_stream(spark, source))
+    left = gate(ods, F.col("table") == "l").select(F.col("data")["id"].alias("id"), "et")
+    right = gate(topics.read_ods_db(text_stream(spark, source)), F.col("table") == "r").select(
+        F.col("data")["id"].alias("rid"), F.col("et").alias("ret"))
+    joined = left.join(right, F.expr("id = rid and ret between et - interval 1 minute and et + interval 1 minute"), "left")
+    out = run(spark, joined.select("id", "rid"), str(tmp_path))
+    assert ("1", None) in rows_of(out, "id", "rid")
+
+
+def order_batches():
+    def order(i, ts, activity=False, coupon=False):
+        rows = [change("order_detail", "insert", {
+            "id": f"d{i}", "order_id": f"o{i}", "sku_id": "s", "sku_name": "n", "create_time": "2024-01-01 10:00:00",
+            "sku_num": "2", "order_price": "3.50", "split_total_amount": "7.00"}, ts),
+            change("order_info", "insert", {"id": f"o{i}", "user_id": "u", "province_id": "p"}, ts)]
+        if activity:
+            rows.append(change("order_detail_activity", "insert", {
+                "order_detail_id": f"d{i}", "activity_id": "a", "activity_rule_id": "r"}, ts + 1))
+        if coupon:
+            rows.append(change("order_detail_coupon", "insert", {"order_detail_id": f"d{i}", "coupon_id": "c"}, ts + 1))
+        return rows
+    return [order(1, 1000, activity=True) + order(2, 1001, coupon=True), order(3, 5000), order(4, 9000), order(5, 20_000)]
+
+
+def test_order_detail_as_one_stream(spark, tmp_path):
+    source = str(tmp_path / "in")
+    write_files(source, order_batches())
+    out = run(spark, trade.order_detail(topics.read_ods_db(text_stream(spark, source)), "10 minutes"), str(tmp_path))
+    batch = trade.order_detail(topics.read_ods_db(spark.read.text(source)))
+    got, want = rows_of(out, *batch.columns), rows_of(batch, *batch.columns)
+    assert set(got) <= set(want) and {r[0] for r in got} >= {"d1", "d2", "d3"}
+    assert {(r[0], r[6], r[8], r[12]) for r in got if r[0] in ("d1", "d2", "d3")} == {
+        ("d1", "a", None, "7.0000"), ("d2", None, "c", "7.0000"), ("d3", None, None, "7.0000")}
+
+
+def test_pay_success_stream_equals_batch(spark, tmp_path):
+    detail = lambda i, ts: json.dumps({"id": f"d{i}", "order_id": f"o{i}", "split_total_amount": "1", "ts": ts})
+    pay = lambda i, ts, kind: change("payment_info", "update", {
+        "order_id": f"o{i}", "payment_type": kind, "callback_time": "x", "payment_status": "1602"}, ts, {"payment_status": "1601"})
+    write_files(str(tmp_path / "d"), [[detail(1, 1000), detail(2, 1000)], [detail(3, 9000), detail(4, 9000)]])
+    write_files(str(tmp_path / "p"), [[pay(1, 1300, "1"), pay(2, 2801, "1")], [pay(3, 9100, "9"), pay(4, 9100, "1")]])
+    dic = spark.createDataFrame([("1", {"dic_name": "card"})], "dic_code string, info struct<dic_name: string>")
+
+    def plan(read):
+        return trade.pay_success(topics.read_order_detail(read("d"), "3 seconds"), topics.read_ods_db(read("p")), dic)
+
+    out = run(spark, plan(lambda name: text_stream(spark, str(tmp_path / name))), str(tmp_path))
+    batch = plan(lambda name: spark.read.text(str(tmp_path / name)))
+    assert rows_of(out, *batch.columns) == rows_of(batch, *batch.columns)
+    assert rows_of(out, "order_detail_id", "payment_type_name", "ts") == [("d1", "card", 1300), ("d4", "card", 9100)]
+
+
+def test_log_split_stream_writes_routed_records(spark, tmp_path):
+    source = str(tmp_path / "in")
+    write_files(source, [BATCHES[0] + ["{bad"], BATCHES[1]])
+    records, dirty = jobs.log_split_stream(text_stream(spark, source))
+    conn = {"format": "text", "path": str(tmp_path / "out")}
+    run(spark, records, str(tmp_path / "1"), jobs.records_to(conn))
+    run(spark, dirty, str(tmp_path / "2"), jobs.records_to({"format": "text", "path": str(tmp_path / "dirty")}))
+    out = spark.read.text(str(tmp_path / "out"))
+    assert out.filter("topic = 'dwd_page'").count() == 6
+    assert spark.read.text(str(tmp_path / "dirty")).first()["value"] == "{bad"
+
+
+def test_changelog_of_a_stream_survives_replay(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "log")
+    write_files(source, [[json.dumps({"id": "1", "v": 1})], [json.dumps({"id": "1", "v": 2}), json.dumps({"id": "2", "v": 1})]])
+    rows = topics.read_json_topic(spark, "t", "id string, v int", {"format": "text", "path": source, "maxFilesPerTrigger": 1})
+    run(spark, rows, str(tmp_path), jobs.upsert_to(path, ["id"], "v"))
+    before = rows_of(sinks.read_upsert(spark, path, "id", "v"), "id", "v")
+    assert before == [("1", 2), ("2", 1)]
+    jobs.upsert_to(path, ["id"], "v")(spark.createDataFrame([("1", 2), ("2", 1)], "id string, v int"), 1)
+    assert rows_of(sinks.read_upsert(spark, path, "id", "v"), "id", "v") == before
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_dimension_sync_stream_follows_rule_changes(spark, tmp_path):
+    rule = "op string, source_table string, sink_table string, sink_columns string, sink_family string, sink_row_key string, seq bigint"
+    known = [("c", "part", "dim_part", "id,name", "info", "id", 1)]
+    path = str(tmp_path / "dims")
+    write = jobs.dims_to(lambda: spark.createDataFrame(known, rule), path, "shop")
+    schema = CDC.replace("`table`", "table") + ", seq bigint"
+    rows = lambda *r: spark.createDataFrame([("shop", "part", t, d, None, 1, s) for t, d, s in r], schema)
+    write(rows(("insert", {"id": "1", "name": "a"}, 1), ("insert", {"id": "2", "name": "b"}, 2)), 0)
+    known.append(("u", "part", "dim_part", "id,name,size", "info", "id", 2))
+    write(rows(("update", {"id": "1", "name": None, "size": "9"}, 1), ("delete", {"id": "2"}, 2)), 1)
+    merged = {r["row_key"]: r["data"] for r in jobs.read_dims(spark, path).collect()}
+    assert merged == {"1": {"id": "1", "name": "a", "size": "9"}}
