@@ -94,8 +94,9 @@ def log_records(clean, topics=None):
     partitioned by it) feeds every output and the input is read once.
     """
     topics = topics or {kind: f"dwd_{kind}" for kind in KINDS}
-    common, page = [F.to_json(F.map_filter(m, lambda _, value: value.isNotNull())) for m in ("common", "page")]
-    ts = F.col("ts").cast("string")
+    clean = clean.select("*", *[F.to_json(F.map_filter(m, lambda _, value: value.isNotNull())).alias(f"_{m}")
+                                for m in ("common", "page")])
+    common, page, ts = F.col("_common"), F.col("_page"), F.col("ts").cast("string")
     started, paged = F.col("start").isNotNull(), F.col("start").isNull() & F.col("page").isNotNull()
 
     def one(kind, condition, text):

@@ -26,10 +26,12 @@ def match_rules(changes, rules, keys):
     """Pair each row change with its rule; rows without a rule are dropped.
 
     `keys` is ["table"] (dimensions) or ["table", "type"] (facts). Rule tables are
-    small, so this is a broadcast join unless Spark measures otherwise.
+    small, so this is a broadcast join unless Spark measures otherwise. The rule's
+    column list is split here, once per rule, into `wanted`.
     """
     source = {"table": "source_table", "type": "source_type"}
-    side = rules.withColumnsRenamed({source[k]: f"_rule_{k}" for k in keys})
+    wanted = F.array_distinct(F.transform(F.split("sink_columns", ","), F.trim))
+    side = rules.withColumnsRenamed({source[k]: f"_rule_{k}" for k in keys}).withColumn("wanted", wanted)
     condition = F.lit(True)
     for key in keys:
         condition = condition & (F.col(key) == F.col(f"_rule_{key}"))
@@ -41,9 +43,8 @@ def project_by_rule(matched):
 
     A listed column that the row lacks is present with a null value.
     """
-    wanted = F.transform(F.array_distinct(F.split("sink_columns", ",")), F.trim)
-    pairs = F.transform(wanted, lambda c: F.struct(c, F.col("data")[c]))
-    return matched.withColumn("data", F.map_from_entries(pairs))
+    pairs = F.transform("wanted", lambda c: F.struct(c, F.col("data")[c]))
+    return matched.withColumn("data", F.map_from_entries(pairs)).drop("wanted")
 
 
 def routed_payload(projected):
@@ -52,10 +53,13 @@ def routed_payload(projected):
     The payload carries the change type and time next to the data columns; columns
     without a value are left out of the text.
     """
-    extra = F.create_map(F.lit("type"), F.col("type"), F.lit("ts"), F.col("ts").cast("string"))
-    data = F.map_filter("data", lambda key, value: value.isNotNull() & ~key.isin("type", "ts"))
+    def entry(name, value):
+        return F.struct(F.lit(name).alias("key"), value.alias("value"))
+
+    extra = F.array(entry("type", F.col("type")), entry("ts", F.col("ts").cast("string")))
+    data = F.filter(F.map_entries("data"), lambda e: e["value"].isNotNull() & ~e["key"].isin("type", "ts"))
     return projected.select(F.col("sink_table").alias("topic"),
-                            F.to_json(F.map_concat(extra, data)).alias("value"))
+                            F.to_json(F.map_from_entries(F.concat(extra, data))).alias("value"))
 
 
 def merge_cells(changes, order="seq"):

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brookmart.functions.timecols import day_of, window_texts
-from brookmart.operators.retract import retract_updates
+from brookmart.operators.retract import last_versions, retract_updates
 from brookmart.operators.visits import first_of_day, session_flag
 from brookmart.schemas import HOME_DETAIL_WINDOW, KEYWORD_WINDOW, TRAFFIC_WINDOW
 
@@ -89,8 +89,9 @@ def sku_window(details, key, order, amounts, seconds=10):
 
     A window all of whose rows were replaced stays in the result with sums of 0,
     as it would after adding each row and its negation. The batch form uses that
-    these pairs cancel: one grouping gives the (product, window) pairs that exist,
-    the other the last version of each key.
+    these pairs cancel: it adds the last version of each key to zero rows for the
+    (product, window) pairs that exist. Both come from aggregates that combine
+    before their shuffle; the zero rows read three columns only.
     """
     if details.isStreaming:
         net = retract_updates(details, key, order, amounts)
@@ -99,18 +100,11 @@ def sku_window(details, key, order, amounts, seconds=10):
         return window_texts(sums)
 
     order = [order] if isinstance(order, str) else list(order)
-    rows = details.select(
-        _window_start("(ts * 1000)", seconds).alias("_start"), "sku_id", key,
-        F.struct(*order, "sku_id", F.col("ts"), *amounts).alias("_row"))
-    by_window, by_key = [F.col("_start"), F.col("sku_id")], [F.col(key)]
-    both = rows.groupingSets([by_window, by_key], *by_window, *by_key).agg(
-        F.max("_row").alias("_last"), F.grouping(key).alias("_is_window"))
-    in_window = F.col("_is_window") == 1
-    last = F.col("_last")
-    parts = both.select(
-        F.when(in_window, F.col("_start")).otherwise(_window_start("(_last.ts * 1000)", seconds)).alias("_start"),
-        F.when(in_window, F.col("sku_id")).otherwise(last["sku_id"]).alias("sku_id"),
-        *[F.when(in_window, 0).otherwise(last[c]).alias(c) for c in amounts])
+    start = _window_start("(ts * 1000)", seconds).alias("_start")
+    present = details.select(start, "sku_id").distinct().select(
+        "*", *[F.lit(0).cast(details.schema[c].dataType).alias(c) for c in amounts])
+    kept = last_versions(details.select(key, "sku_id", start, *order, *amounts), key, order)
+    parts = present.unionByName(kept.select("_start", "sku_id", *amounts))
     sums = parts.groupBy("_start", "sku_id").agg(
         *[F.sum(c).cast("decimal(38,4)").alias(c) for c in amounts])
     return _start_texts(sums, seconds)

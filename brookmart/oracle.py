@@ -135,18 +135,20 @@ def keywords(length):
     select {bounds('start', length)}, keyword, count(*) as keyword_count from cut group by start, keyword"""
 
 
-NO = "cast(null as varchar)"
-
-RECORDS = f"""with {LOG}
-select 'dwd_err' as topic, {NO} as mid, {NO} as is_new, {NO} as page_id, {NO} as ts, {NO} as start_k,
-  {text('k')} as code, {NO} as pos, {NO} as action_id from fixed where event_type = 'error'
-union all select 'dwd_start', mid, is_new, null, {text('ts')}, {text('k')}, null, null, null from fixed
+RECORDS = f"""with {LOG}, parts as (
+  select *, '"common":{{"mid":"' || mid || '","vc":"' || vc || '","ch":"' || ch || '","ar":"' || ar || '","sid":"' || sid
+      || '","is_new":"' || is_new || '"}}' as common,
+    ',"page":{{"page_id":"' || page_id || '"' || case when last_page_id is null then '' else ',"last_page_id":"home"' end
+      || ',"during_time":"' || during_time || '"}}' as page
+  from fixed)
+select 'dwd_err' as topic, '{{"code":' || k || '}}' as value from parts where event_type = 'error'
+union all select 'dwd_start', '{{' || common || ',"start":{{"entry":"icon","k":' || k || '}},"ts":' || ts || '}}' from parts
   where event_type = 'signup'
-union all select 'dwd_page', mid, is_new, page_id, {text('ts')}, null, null, null, null from pages
-union all select 'dwd_display', mid, is_new, page_id, {text('ts')}, null, null, {text('unnest([0, 1])')}, null from pages
-  where event_type = 'purchase'
-union all select 'dwd_action', mid, is_new, page_id, {text('ts')}, null, null, null, {text('k')} from pages
-  where event_type = 'purchase'"""
+union all select 'dwd_page', '{{' || common || page || ',"ts":' || ts || '}}' from parts where event_type <> 'signup'
+union all select 'dwd_display', '{{' || common || page || ',"ts":' || ts || ',"display":{{"pos":' || unnest([0, 1]) || '}}}}'
+  from parts where event_type = 'purchase'
+union all select 'dwd_action', '{{' || common || page || ',"ts":' || ts || ',"action":{{"id":' || k || '}}}}'
+  from parts where event_type = 'purchase'"""
 
 # --- products -------------------------------------------------------------------
 

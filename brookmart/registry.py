@@ -207,18 +207,9 @@ def log_action(spark, t):
     return _flat_page(traffic.split_logs(V.log_text(t))["action"], "action")
 
 
-def _record_fields(records):
-    """Some members of the JSON records, to compare them by."""
-    member = lambda path, name: F.get_json_object("value", f"$.{path}").alias(name)
-    return records.select(
-        "topic", member("common.mid", "mid"), member("common.is_new", "is_new"), member("page.page_id", "page_id"),
-        member("ts", "ts"), member("start.k", "start_k"), member("code", "code"),
-        member("display.pos", "pos"), member("action.id", "action_id"))
-
-
 @query
 def log_records(spark, t):
-    return _record_fields(logs.log_records(traffic.cleaned_log(V.log_text(t))))
+    return logs.log_records(traffic.cleaned_log(V.log_text(t)))
 
 
 # --- joins ----------------------------------------------------------------------
@@ -497,7 +488,7 @@ def stream_log_records(spark, t):
     folder = work_folder(spark, "records")
     records, _ = log_split_stream(_event_stream(spark, t))
     _run(records, records_to({"format": "text", "path": f"{folder}/out"}), folder)
-    return _record_fields(spark.read.text(f"{folder}/out"))
+    return spark.read.text(f"{folder}/out").select("topic", "value")
 
 
 @query

@@ -84,7 +84,7 @@ class FixIsNew(StatefulProcessor):
         return "1" if row["ts"] // DAY_MS == base else "0"
 
     def handleInputRows(self, key, rows, timerValues):
-        known = self.base.get() if self.base.exists() else None
+        known = self.base.get()
         if known is not None:
             for row in rows:
                 yield self._out(row, self._fixed(row, known[0]) if row["_mark"] == "1" else row["_mark"])
@@ -128,7 +128,7 @@ class Retract(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         at = [self.columns.index(c) for c in self.order]
-        kept = tuple(self.last.get()) if self.last.exists() else None
+        kept = self.last.get()
         for row in rows:
             values = tuple(row[c] for c in self.columns)
             yield self.row(*values)
