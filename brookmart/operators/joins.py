@@ -3,7 +3,8 @@
 No join here carries a broadcast hint. Catalyst broadcasts a side only while its
 size, from statistics or measured at run time, is below
 `spark.sql.autoBroadcastJoinThreshold`; beyond that the same plan runs as a
-sort-merge join whose hot partitions adaptive execution reads in slices.
+sort-merge join whose hot partitions adaptive execution reads in slices (see
+`brookmart.session`, which turns this on even where it costs another exchange).
 """
 from __future__ import annotations
 

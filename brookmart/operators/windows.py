@@ -28,10 +28,13 @@ def _start_texts(df, seconds, start="_start"):
     return window_texts(df.withColumn("window", bounds).drop(start))
 
 
-def traffic_window(pages, seconds=10):
-    """Visitors, sessions, views and time on page by version, channel, area, is_new."""
+def traffic_window(pages, seconds=10, slices=1):
+    """Visitors, sessions, views and time on page by version, channel, area, is_new.
+
+    `slices` spreads hot visitors of a stream (see `first_of_day`).
+    """
     if pages.isStreaming:
-        flagged = session_flag(first_of_day(pages, ["mid"], flag="uv_ct"))
+        flagged = session_flag(first_of_day(pages, ["mid"], flag="uv_ct", slices=slices))
         sums = flagged.groupBy(F.window("et", f"{seconds} seconds"), *TRAFFIC_DIMS).agg(
             F.sum("uv_ct").alias("uv_ct"), F.sum("sv_ct").alias("sv_ct"),
             F.count(F.lit(1)).alias("pv_ct"), F.sum("during_time").alias("dur_sum"))
@@ -59,11 +62,11 @@ def traffic_window(pages, seconds=10):
     return _start_texts(sums, seconds).select(*TRAFFIC_WINDOW)
 
 
-def home_detail_window(pages, seconds=10):
+def home_detail_window(pages, seconds=10, slices=1):
     """First visits of the day to the home page and to product pages."""
     is_home = F.col("page_id") == "home"
     if pages.isStreaming:
-        flagged = first_of_day(pages, ["mid", "page_id"], flag="uv")
+        flagged = first_of_day(pages, ["mid", "page_id"], flag="uv", slices=slices)
         sums = flagged.groupBy(F.window("et", f"{seconds} seconds")).agg(
             F.sum(F.when(is_home, F.col("uv")).otherwise(0)).alias("home_uv_ct"),
             F.sum(F.when(is_home, 0).otherwise(F.col("uv"))).alias("good_detail_uv_ct"))

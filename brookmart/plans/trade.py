@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brookmart import schemas as S
-from brookmart.functions.timecols import DAY
 from brookmart.operators.cdc import branch, cart_add, changed_to
 from brookmart.operators.joins import fact_join, interval_join, lookup_inner
 
@@ -21,7 +20,8 @@ def _without_time(df, prefix):
 
 
 def _day(column):
-    return F.date_format(F.try_to_timestamp(F.col(column)), DAY)
+    """Day text of a date-time text; null where it is not one."""
+    return F.col(column).try_cast("date").cast("string")
 
 
 def order_detail(ods, gap="1 day"):

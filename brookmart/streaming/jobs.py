@@ -81,3 +81,18 @@ def read_dims(spark, path, order="seq"):
     from brookmart.operators.rules import merge_cells
     log = spark.read.parquet(path).withColumn("_order", F.struct("batch_id", order))
     return merge_cells(log.drop("batch_id", order), "_order")
+
+
+def rule_tables_to(path, database):
+    """Batch writer for the stream of dimension rules: keep their tables in step.
+
+    Tables are created, dropped and recreated as the rules say, and those that are
+    new are filled from the changelog at `path`, so an update loses no rows.
+    """
+    from brookmart.sinks.tables import apply_rule_ddl, refresh_dim_table
+
+    def write(batch, batch_id):
+        spark = batch.sparkSession
+        for rule in apply_rule_ddl(spark, batch, database).values():
+            refresh_dim_table(spark, read_dims(spark, path), rule, database)
+    return write

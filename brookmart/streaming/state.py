@@ -18,11 +18,12 @@ class FirstOfDay(StatefulProcessor):
     """Flags the earliest row of a key on a day not seen before.
 
     Rows pass through as they come; only the best candidate per day is held back
-    until the end of the batch. A timer forgets a day one day after it ended.
+    until the end of the batch. A timer forgets a day one day after it ended. Where
+    a candidate column is named, rows without that flag cannot be first.
     """
 
-    def __init__(self, ts, columns, flag):
-        self.ts, self.columns, self.flag = ts, columns, flag
+    def __init__(self, ts, columns, flag, candidate=None):
+        self.ts, self.columns, self.flag, self.candidate = ts, columns, flag, candidate
 
     def init(self, handle: StatefulProcessorHandle):
         self.handle = handle
@@ -35,6 +36,9 @@ class FirstOfDay(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         best = {}
         for row in rows:
+            if self.candidate and not row[self.candidate]:
+                yield self._out(row, 0)
+                continue
             day = row[self.ts] // DAY_MS
             held = best.get(day)
             if held is None:
@@ -145,10 +149,20 @@ class Retract(StatefulProcessor):
         pass
 
 
-def first_of_day_stream(df, keys, ts, flag):
+def _flag_first(df, keys, ts, flag, candidate=None):
     schema = T.StructType([*df.schema.fields, T.StructField(flag, T.LongType())])
     return df.groupBy(*keys).transformWithState(
-        FirstOfDay(ts, df.columns, flag), schema, "Append", "EventTime", eventTimeColumnName="et")
+        FirstOfDay(ts, df.columns, flag, candidate), schema, "Append", "EventTime", eventTimeColumnName="et")
+
+
+def first_of_day_stream(df, keys, ts, flag, slices=1):
+    if slices == 1:
+        return _flag_first(df, keys, ts, flag)
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(ts), F.lit(slices)))
+    local = _flag_first(sliced, [*keys, "_slice"], ts, "_local")
+    # Rows that lost within their slice stay spread; the winners meet under one key.
+    spread = local.withColumn("_slice", F.when(F.col("_local") == 0, F.col("_slice")))
+    return _flag_first(spread, [*keys, "_slice"], ts, flag, "_local").drop("_slice", "_local")
 
 
 def fix_is_new_stream(logs):

@@ -10,6 +10,7 @@ from brookmart.operators import logs, retract, visits, windows
 from brookmart.plans import trade, traffic
 from brookmart.sinks import topics as sinks
 from brookmart.sources import topics
+from brookmart.sources.rules import read_rule_changes
 from brookmart.streaming import jobs
 
 
@@ -53,10 +54,12 @@ def test_fix_is_new_and_restart(spark, tmp_path):
     assert ("a", "0", DAY_MS + 1000) in rows_of(out, "mid", "is_new", "ts")
 
 
-def test_first_of_day_over_batches(spark, tmp_path):
+@pytest.mark.parametrize("slices", [1, 4])
+def test_first_of_day_over_batches(spark, tmp_path, slices):
     source = str(tmp_path / "in")
     write_files(source, BATCHES)
-    out = run(spark, visits.first_of_day(logs.pages(pages_stream(spark, source)), ["mid"], flag="uv"), str(tmp_path))
+    flagged = visits.first_of_day(logs.pages(pages_stream(spark, source)), ["mid"], flag="uv", slices=slices)
+    out = run(spark, flagged, str(tmp_path))
     assert rows_of(out.filter("uv = 1"), "mid", "ts") == [
         ("a", 1000), ("a", DAY_MS + 1000), ("b", 3000), ("c", 13_000), ("c", DAY_MS + 1500), ("z", 2 * DAY_MS)]
     assert out.count() == 9
@@ -206,3 +209,10 @@ def test_dimension_sync_stream_follows_rule_changes(spark, tmp_path):
     write(rows(("update", {"id": "1", "name": None, "size": "9"}, 1), ("delete", {"id": "2"}, 2)), 1)
     merged = {r["row_key"]: r["data"] for r in jobs.read_dims(spark, path).collect()}
     assert merged == {"1": {"id": "1", "name": "a", "size": "9"}}
+    lines = [json.dumps({"op": op, "after": {"source_table": "part", "sink_table": "dim_part", "sink_columns": columns,
+                                             "sink_row_key": "id"}, "seq": seq})
+             for op, columns, seq in [("c", "id,name", 1), ("u", "id,size", 2)]]
+    write_files(str(tmp_path / "rules"), [[line] for line in lines])
+    rule_stream = read_rule_changes(text_stream(spark, str(tmp_path / "rules")), "dim")
+    run(spark, rule_stream, str(tmp_path), jobs.rule_tables_to(path, "stream_dims"))
+    assert rows_of(spark.table("stream_dims.dim_part"), "row_key", "id", "size") == [("1", "1", "9")]
