@@ -173,6 +173,42 @@ def test_pay_success_stream_equals_batch(spark, tmp_path):
     assert rows_of(out, "order_detail_id", "payment_type_name", "ts") == [("d1", "card", 1300), ("d4", "card", 9100)]
 
 
+def trade_batches():
+    status = lambda i, new, old, ts: change("order_info", "update", {
+        "id": f"o{i}", "user_id": "u", "province_id": "p", "order_status": new, "operate_time": "2024-01-02 01:00:00"},
+        ts, {"order_status": old})
+    request = {"id": "r1", "user_id": "u", "order_id": "o1", "sku_id": "s", "refund_type": "1", "refund_reason_type": "1",
+               "refund_reason_txt": "t", "refund_num": "1", "refund_amount": "5.00", "create_time": "2024-01-02 02:00:00"}
+    return [
+        [status(1, "1005", "1001", 1000), status(2, "1003", "1001", 1000), change("order_refund_info", "insert", request, 1010),
+         change("comment_info", "insert", {"id": "c1", "appraise": "1"}, 1000),
+         change("comment_info", "update", {"id": "c2", "appraise": "9"}, 1000),
+         change("cart_info", "update", {"id": "k1", "sku_num": "5"}, 1000, {"sku_num": "2"})],
+        [change("order_refund_info", "update", {**request, "refund_status": "0705"}, 2000, {"refund_status": "0701"}),
+         change("refund_payment", "update", {"id": "f1", "order_id": "o1", "sku_id": "s", "payment_type": "1",
+                "callback_time": "2024-01-03 00:00:00", "total_amount": "5.00", "refund_status": "1602"}, 2010,
+                {"refund_status": "1601"}), status(1, "1006", "1005", 2020)]]
+
+
+@pytest.mark.parametrize("name", ["order_cancel", "order_refund", "refund_pay", "comments", "cart_additions"])
+def test_trade_facts_as_streams_equal_batch(spark, tmp_path, name):
+    write_files(str(tmp_path / "ods"), trade_batches())
+    write_files(str(tmp_path / "details"), [[json.dumps({"id": f"d{i}", "order_id": f"o{i}", "ts": 990})] for i in (1, 2)])
+    dic = spark.createDataFrame([("1", {"dic_name": "one"})], "dic_code string, info struct<dic_name: string>")
+
+    def plan(read):
+        ods = topics.read_ods_db(read("ods"))
+        if name == "order_cancel":
+            return trade.order_cancel(topics.read_order_detail(read("details"), "0 seconds"), ods)
+        return trade.cart_additions(ods) if name == "cart_additions" else getattr(trade, name)(ods, dic)
+
+    out = run(spark, plan(lambda source: text_stream(spark, str(tmp_path / source))), str(tmp_path))
+    batch = plan(lambda source: spark.read.text(str(tmp_path / source)))
+    assert rows_of(out, *batch.columns) == rows_of(batch, *batch.columns)
+    assert [r[0] for r in rows_of(out, batch.columns[0])] == [
+        {"order_cancel": "d2", "order_refund": "r1", "refund_pay": "f1", "comments": "c1", "cart_additions": "k1"}[name]]
+
+
 def test_log_split_stream_writes_routed_records(spark, tmp_path):
     source = str(tmp_path / "in")
     write_files(source, [BATCHES[0] + ["{bad"], BATCHES[1]])
