@@ -14,7 +14,7 @@ from brookmart.session import configure, work_folder
 from brookmart.sinks import topics as topic_sinks
 from brookmart.sources import rules as rule_sources
 from brookmart.sources import topics
-from brookmart.sources.tables import dictionary, literal_rows
+from brookmart.sources.tables import dictionary
 from brookmart.streaming.jobs import (dims_to, log_split_stream, read_dims, records_to, routed_to, rows_to,
                                      run_stream, upsert_to)
 

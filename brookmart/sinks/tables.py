@@ -1,7 +1,6 @@
 """Sinks that write tables, and table life cycle driven by rules."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from brookmart.operators.rules import dim_table
 

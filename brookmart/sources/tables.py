@@ -4,7 +4,6 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def read_jdbc(spark, table, conn):
@@ -27,8 +26,6 @@ def dictionary(codes, names):
 
 def literal_rows(spark, rows, schema):
     """A small table of literal rows; a local relation, so its size is known."""
-    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    arrow = to_arrow_schema(schema)
-    columns = [[row[i] for row in rows] for i in range(len(schema))]
-    return spark.createDataFrame(pa.Table.from_arrays(
-        [pa.array(values, field.type) for values, field in zip(columns, arrow)], schema=arrow), schema)
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = schema.fieldNames()
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(names, row)) for row in rows]), schema)
