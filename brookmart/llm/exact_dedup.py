@@ -14,12 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialise
-
-#: Bits of a block of the filter; a row's slots lie in one block, so one look-up tests both.
-BLOCK = 1 << 15
-SLOTS = 2
-
+from . import bloom
+from .common import SPACE
 
 def fingerprint(text):
     """SHA-256 (lowercase hex) of a text whose white space runs are single spaces; null is empty."""
@@ -27,36 +23,11 @@ def fingerprint(text):
     return F.sha2(spaced.cast("binary"), 256)
 
 
-def _slots(blocks):
-    """Block and slots of a hash; slots are 0 to BLOCK - 1."""
-    h = F.xxhash64("text_sha256")
-    first = F.shiftrightunsigned(h, 49).cast("int")
-    second = F.shiftrightunsigned(F.shiftleft(h, 15), 49).cast("int")
-    return F.pmod(h, F.lit(blocks)).alias("block"), F.array(first, second).alias("slots")
-
-
-def repeat_filter(hashed: DataFrame, blocks: int) -> DataFrame:
-    """The blocks that have set slots, as (block, words): 64 slots a word."""
-    block, slots = _slots(blocks)
-    repeated = (hashed.select(block, slots).select("block", F.explode("slots").alias("slot"))
-                .groupBy("block", "slot").count().where("count > 1"))
-    words = repeated.groupBy("block", F.shiftright("slot", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, slot & 63)")).alias("mask"))
-    # At most BLOCK / 64 = 512 words a block.
-    return words.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("words"))
-
-
-def _maybe_repeated(hashed: DataFrame, blocks: int) -> DataFrame:
-    block, slots = _slots(blocks)
-    rows = hashed.withColumns({"block": block, "slots": slots})
-    filter_rows = materialise(repeat_filter(hashed, blocks), "bloom")
-    found = rows.join(F.broadcast(filter_rows), "block", "left")  # at most blocks * BLOCK / 8 bytes
-    tests = [F.coalesce(F.expr(f"(shiftrightunsigned(words[shiftright(slots[{i}], 6)], slots[{i}] & 63) & 1) = 1"),
-                        F.lit(False)) for i in range(SLOTS)]
-    maybe = tests[0]
-    for test in tests[1:]:
-        maybe = maybe & test
-    return found.withColumn("maybe", maybe).drop("block", "slots", "words")
+def flag_repeats(hashed: DataFrame, blocks: int) -> DataFrame:
+    """`hashed` and `maybe`: whether the filter of repeated slots holds the row's digest."""
+    rows = hashed.withColumns(bloom.places(F.xxhash64("text_sha256"), blocks))
+    repeated = rows.select("block", F.explode("slots").alias("slot")).groupBy("block", "slot").count().where("count > 1")
+    return bloom.test(rows, bloom.set_slots(repeated))
 
 
 def exact_dedup(docs: DataFrame, bits_per_row: int = 16, max_bits: int = 1 << 28) -> DataFrame:
@@ -68,8 +39,7 @@ def exact_dedup(docs: DataFrame, bits_per_row: int = 16, max_bits: int = 1 << 28
     columns are ignored. An empty table gives an empty result.
     """
     hashed = docs.select("doc_id", fingerprint(F.col("text")).alias("text_sha256"))
-    bits = min(max_bits, max(BLOCK, docs.count() * bits_per_row))
-    flagged = _maybe_repeated(hashed, -(-bits // BLOCK))
+    flagged = flag_repeats(hashed, bloom.blocks_for(docs.count(), bits_per_row, max_bits))
     single = flagged.where("not maybe").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, packing, quality, sharding, simhash, topk
+from . import chat, exact_dedup, mixing, packing, phrase_dedup, quality, sharding, simhash, suffix_dedup, topk
 from .common import table
 from .sql import SQL  # noqa: F401
 
@@ -18,6 +18,10 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, folder, "documents"))
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -26,6 +30,10 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), keep_ids=False).select(*packing.COLUMNS)
 
 
+def op6_phrase_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_dedup.phrase_dedup(table(spark, folder, "documents"))
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = table(spark, folder, "documents").select(
@@ -59,5 +67,5 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op4_quality, op5_packing, op7_sharding, op8_chat,
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op3_suffix_dedup, op4_quality, op5_packing, op6_phrase_dedup, op7_sharding, op8_chat,
                                    op9_mixing, op10_topk)}

@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import types as T
 
-from tests.llm import brute
+import brute
 
 
 @pytest.fixture(scope="session")

@@ -7,8 +7,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from brookmart.llm import chat, exact_dedup, mixing, packing, quality, sharding, simhash, topk
-from tests.llm import brute
+from brookmart.llm import chat, exact_dedup, mixing, packing, phrase_dedup, quality, sharding, simhash, suffix_dedup, topk
+import brute
 
 
 def got(df, *columns):
@@ -250,3 +250,39 @@ def test_sparse_places_shrink(spark):
     assert shift["big", "a"] > shift["one", "a"] > 0 > shift["rest", "a"]
 
 
+
+
+@pytest.mark.parametrize("options", [{}, {"group_rows": 2, "k": 64}, {"shard_bytes": 4000, "k": 350}])
+def test_suffix_dedup(documents, no_documents, options):
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert got(suffix_dedup.suffix_dedup(documents, **options), *columns) == brute.substrings(brute.rows())
+    assert suffix_dedup.suffix_dedup(no_documents).count() == 0
+
+
+@pytest.mark.parametrize("letters,depth", [(1, 400), (2, 9), (2, 400), (5, 30), (200, 400)])
+def test_suffix_order(letters, depth):
+    import numpy as np
+    r = np.random.default_rng(letters)
+    for n in (0, 1, 2, 3, 4, 5, 50, 51, 52, 700):
+        s = r.integers(1, letters + 1, n)
+        order = suffix_dedup.suffix_order(s, depth).tolist()
+        assert sorted(order) == list(range(n))
+        prefixes = [s[i:i + depth].tolist() for i in order]
+        assert prefixes == sorted(prefixes)
+
+
+def test_repeated_windows():
+    r = random.Random(6)
+    for _ in range(30):
+        texts = [bytes(r.choice(b"ab") for _ in range(r.randint(6, 60))) for _ in range(5)]
+        texts += [texts[0][:8], b"abababababab"]
+        windows = [t[i:i + 6] for t in texts for i in range(len(t) - 5)]
+        want = [[windows.count(t[i:i + 6]) > 1 for i in range(len(t) - 5)] for t in texts]
+        assert [f.tolist() for f in suffix_dedup.repeated_windows(texts, 6)] == want
+
+
+@pytest.mark.parametrize("options", [{}, {"k": 40, "shard_rows": 3}])
+def test_phrase_dedup(documents, no_documents, options):
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    assert got(phrase_dedup.phrase_dedup(documents, **options), *columns) == brute.phrases(brute.rows())
+    assert phrase_dedup.phrase_dedup(no_documents).count() == 0
