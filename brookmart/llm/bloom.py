@@ -52,3 +52,13 @@ def may_hold(rows: DataFrame, column: str, keys: DataFrame, bits_per_row: int =
     listed = keys.select(places(F.xxhash64(key), blocks)["block"].alias("block"),
                          F.explode(places(F.xxhash64(key), blocks)["slots"]).alias("slot"))
     return test(rows.withColumns(places(F.xxhash64(column), blocks)), set_slots(listed))
+
+
+def without(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The rows whose `column` is none of `keys` (one column of the same name, materialised).
+
+    Rows that the filter tells apart pass straight through; only the others are shuffled.
+    """
+    flagged = may_hold(rows, column, keys)
+    passed = flagged.where("not maybe").select(*rows.columns)
+    return passed.unionByName(flagged.where("maybe").select(*rows.columns).join(keys, column, "left_anti").select(*rows.columns))

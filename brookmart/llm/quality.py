@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from .common import materialise
 
 TARGETS = ("toxic", "low")
@@ -62,8 +63,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int) -> Da
     """doc_id, text, toxic, low of at most `max_labelled` documents, those with the lowest hashes."""
     known = (labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy("doc_id")
              .agg(F.max("toxic").alias("toxic"), (F.lit(1) - F.min("quality")).alias("low")))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    return docs.select("doc_id", "text").join(chosen, "doc_id")
+    chosen = materialise(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled), "labelled")
+    some = bloom.may_hold(docs.select("doc_id", "text"), "doc_id", chosen.select("doc_id")).where("maybe")
+    return some.select("doc_id", "text").join(chosen, "doc_id")
 
 
 def train(sample: DataFrame, words: int, seed: int = 7) -> dict:
@@ -76,7 +78,7 @@ def train(sample: DataFrame, words: int, seed: int = 7) -> dict:
                                 "words": [list(v) for v, _ in rows], "values": [list(v.values()) for v, _ in rows],
                                 "shape": [s for _, s in rows]})
 
-    schema = "doc_id long, toxic int, low int, words array<long>, values array<double>, shape array<double>"
+    schema = "doc_id long, toxic int, low int, words array<long>, values array<float>, shape array<double>"
     parsed = materialise(sample.mapInPandas(tokens, schema), "tokens")
     totals = parsed.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in TARGETS]).first()
     n = totals["n"]
@@ -99,12 +101,15 @@ def train(sample: DataFrame, words: int, seed: int = 7) -> dict:
             batch["values"] = [[v for _, v in row] for row in pairs]
             yield batch
 
-    rows = parsed.mapInPandas(known, schema).orderBy("doc_id", F.xxhash64("words", "values")).toPandas()
-    shapes = np.array(rows["shape"].tolist(), dtype=float).reshape(-1, SHAPES)
-    return {"place": place, "models": {t: _fit(rows["words"], rows["values"], shapes, rows[t].to_numpy(float), len(vocabulary)) for t in TARGETS}}
+    rows = parsed.mapInPandas(known, schema).orderBy("doc_id", F.xxhash64("words", "values")).toArrow()
+    words_of, values_of, shapes = (rows[c].combine_chunks() for c in ("words", "values", "shape"))
+    row = np.repeat(np.arange(len(words_of), dtype=np.int32), np.diff(words_of.offsets.to_numpy()))
+    matrix = (row, words_of.flatten().to_numpy().astype(np.int32), values_of.flatten().to_numpy().astype(np.float32))
+    shapes = shapes.flatten().to_numpy().reshape(-1, SHAPES)
+    return {"place": place, "models": {t: _fit(matrix, shapes, rows[t].to_numpy().astype(float), len(vocabulary)) for t in TARGETS}}
 
 
-def _fit(words, values, shapes, y, size, rounds=600, rate=0.05, decay=1e-4):
+def _fit(matrix, shapes, y, size, rounds=400, rate=0.05, decay=1e-4):
     """Logistic regression by Adam over all rows: word values, shapes and their roots."""
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.0
@@ -113,9 +118,7 @@ def _fit(words, values, shapes, y, size, rounds=600, rate=0.05, decay=1e-4):
     x = np.hstack([shapes, np.sqrt(shapes)])
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     x = _standard(x, mean, scale)
-    row = np.repeat(np.arange(len(y)), [len(k) for k in words])
-    column = np.array([c for k in words for c in k], dtype=int)
-    value = np.array([c for k in values for c in k], dtype=float)
+    row, column, value = matrix
     w, v, bias = np.zeros(size), np.zeros(x.shape[1]), 0.0
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (w, v, np.zeros(1))]
     for step in range(1, rounds + 1):
@@ -195,7 +198,7 @@ def place_posteriors(scored: DataFrame, host: str = "source", path: str = "lang"
     return both.select(host, path, "n", *[s.alias(f"{t}_shift") for t, s in shifts.items()])
 
 
-def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", max_labelled: int = 20000,
+def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", max_labelled: int = 10000,
              words: int = 2000, threshold: float = 0.5) -> DataFrame:
     """doc_id, source and lang (the place), document and posterior probabilities, and kept.
 
@@ -221,4 +224,4 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
 def keep_clean(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of `docs`, all columns, that `classify` keeps. Doc_ids are taken as unique."""
     rejected = classify(docs, labels, **options).where("not kept").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    return bloom.without(docs, "doc_id", materialise(rejected, "rejected"))

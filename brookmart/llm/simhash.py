@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from .common import materialise
 from .graph import components
 
@@ -228,4 +229,4 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     Rows without a doc_id stay.
     """
     dropped = simhash_groups(docs, **options).where("doc_id != component_id").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return bloom.without(docs, "doc_id", materialise(dropped, "near-copies"))
