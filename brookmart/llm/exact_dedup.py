@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import SPACE
+from .common import SPACE, materialise
 
 def fingerprint(text):
     """SHA-256 (lowercase hex) of a text whose white space runs are single spaces; null is empty."""
@@ -38,7 +38,7 @@ def exact_dedup(docs: DataFrame, bits_per_row: int = 16, max_bits: int = 1 << 28
     than any other; a text that has only such rows keeps them, with a null keep_id. Other
     columns are ignored. An empty table gives an empty result.
     """
-    hashed = docs.select("doc_id", fingerprint(F.col("text")).alias("text_sha256"))
+    hashed = materialise(docs.select("doc_id", fingerprint(F.col("text")).alias("text_sha256")), "digests")
     flagged = flag_repeats(hashed, bloom.blocks_for(docs.count(), bits_per_row, max_bits))
     single = flagged.where("not maybe").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
@@ -56,10 +56,8 @@ def exact_dedup(docs: DataFrame, bits_per_row: int = 16, max_bits: int = 1 << 28
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs`, all columns, without the copies that `exact_dedup` drops.
 
-    Rows with equal text and equal doc_id are one row here: the copies of a doc_id that stays
-    are reduced to one by their remaining columns.
+    Doc_ids are taken as unique; rows without one stay.
     """
-    dropped = exact_dedup(docs, **options).where("not kept").select("doc_id", "text_sha256").distinct()
-    hashed = docs.withColumn("_sha", fingerprint(F.col("text")))
-    kept = hashed.join(dropped.withColumnRenamed("text_sha256", "_sha"), ["doc_id", "_sha"], "left_anti")
-    return kept.select(*docs.columns)
+    result = materialise(exact_dedup(docs, **options), "exact-dedup")
+    dropped = result.where("not kept").select("doc_id").distinct()
+    return bloom.without(docs, "doc_id", dropped)
