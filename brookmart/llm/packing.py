@@ -110,7 +110,7 @@ def _batches(rows: Iterator[tuple], keep_ids: bool, size: int = 4096) -> Iterato
 
 
 def pack(docs: DataFrame, encoder: Callable = byte_bpe, end: int = 1, length: int = 2048, windows: int = 64,
-         merge: int = 64, keep_ids: bool = True) -> DataFrame:
+         merge: int = 8, keep_ids: bool = True) -> DataFrame:
     """The pieces of all sequences: COLUMNS and ids (little-endian unsigned 32-bit, binary).
 
     `docs` has doc_id and text; other columns are ignored. A document's ids are `encoder()` of its
