@@ -19,7 +19,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats
@@ -43,14 +43,9 @@ def automaton(phrases: set[str]) -> ahocorasick.Automaton:
 
 def removed_windows(docs: DataFrame, window: int = 50, k: int = 16, shard_rows: int = 2000) -> DataFrame:
     """doc_id, lo, n: the windows (n from word lo on) that a document with a smaller id has too."""
-    anchor, context = Window.partitionBy("h"), Window.partitionBy("h", "ctx")
-    found = repeats.scan(docs, _codes, window, k)
-    again = (found.withColumns({"low": F.min("doc_id").over(anchor), "high": F.max("doc_id").over(anchor),
-                                "contexts": F.min("ctx").over(anchor) != F.max("ctx").over(anchor)}).where("low < high")
-             .withColumn("first_doc", F.min("doc_id").over(context)).drop("low", "high"))
-    again = materialise(again, "recurring")
+    again = repeats.recurring(repeats.scan(docs, _codes, window, k)).where("low < high")
     copies = again.where("doc_id > first_doc").select("doc_id", "lo", "n")
-    texts = again.where("contexts and doc_id = first_doc")
+    texts = again.where("contexts > 1 and doc_id = first_doc")
     listed = repeats.by_document(texts, "lo", "n", "at", "h", name="texts")
     columns = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("at", pa.int32()), ("words", pa.string())])
 

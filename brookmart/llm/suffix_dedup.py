@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors, repeats
@@ -110,17 +110,12 @@ def removed_windows(docs: DataFrame, window: int = 400, k: int = 128, shard_byte
     def codes(texts):
         return _BYTES[np.frombuffer(b"".join(texts), dtype=np.uint8)], np.cumsum([len(t) for t in texts])
 
-    anchor, context = Window.partitionBy("h"), Window.partitionBy("h", "ctx")
-    found = repeats.scan(docs, codes, window, k)
-    again = (found.withColumn("times", F.count(F.lit(1)).over(anchor)).where("times > 1")
-             .withColumn("contexts", F.min("ctx").over(anchor) != F.max("ctx").over(anchor))
-             .withColumn("copies", F.count(F.lit(1)).over(context))
-             .withColumn("nth", F.row_number().over(context.orderBy("doc_id", "lo"))))
-    again = materialise(again, "recurring")
+    again = repeats.recurring(repeats.scan(docs, codes, window, k))
     copies = again.where("copies > 1").select("doc_id", "lo", "n")
 
     # One text for each context of the anchors that have several.
-    texts = again.where("contexts and nth = 1")
+    texts = again.where("contexts > 1 and doc_id = first_doc").dropDuplicates(["h", "ctx"])
+    texts = materialise(texts.select("doc_id", "lo", "n", "h", "copies"), "texts")
     sizes = texts.groupBy("h").agg(F.count(F.lit(1)).alias("members"))
     total = texts.agg(F.sum(F.col("n") + window)).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
