@@ -1,7 +1,6 @@
 """Session settings the pipelines rely on."""
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 SETTINGS = {
@@ -29,10 +28,10 @@ def configure(spark):
 def work_folder(spark, purpose):
     """A fresh folder in the shared checkpoint area of the session.
 
-    Only where `spark.checkpoint.dir` is unset (tests, a laptop) does this fall
-    back to a local temporary folder.
+    Where `spark.checkpoint.dir` is unset (tests, a laptop), the folder lies in the
+    warehouse, which executors share as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{purpose}-")
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
