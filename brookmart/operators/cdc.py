@@ -38,9 +38,18 @@ def changed_to(column, new, old=None):
 
 
 def cart_add(ods):
-    """Additions to a cart: whole quantity on insert, the increase on update."""
+    """Additions to a cart: whole quantity on insert, the increase on update.
+
+    A quantity of an update that is no whole number fails the job.
+    """
     now, before = F.col("data")["sku_num"], F.col("old")["sku_num"]
-    now_n, before_n = F.expr("try_cast(data['sku_num'] AS int)"), F.expr("try_cast(old['sku_num'] AS int)")
+    changed = (F.col("table") == "cart_info") & (F.col("type") == "update")
+
+    def whole(text):
+        bad = F.raise_error(F.concat(F.lit("bad quantity: "), text)).cast("int")
+        return F.when(changed & text.isNotNull(), F.coalesce(text.try_cast("int"), bad))
+
+    now_n, before_n = whole(now), whole(before)
     inserted = F.col("type") == "insert"
     grew = (F.col("type") == "update") & before.isNotNull() & (now_n > before_n)
     rows = gate(ods, (F.col("table") == "cart_info") & (inserted | grew))

@@ -19,16 +19,19 @@ def _equal(pairs):
     return condition
 
 
-def fact_join(left, right, on, how="inner", gap="1 day", right_time=None):
+def fact_join(left, right, on, how="inner", gap=None, right_time=None):
     """Equi join of two facts; `on` is a list of (left column, right column).
 
-    Column names must differ between the sides. On streams `gap` bounds how far
-    event times (`et`, `right_time`) may lie apart, so that join state can be
-    dropped; batch data is joined without a bound. The right event time is
-    dropped from the result.
+    Column names must differ between the sides. Without `gap` every pair is found, in
+    batch and on streams alike; an inner stream join then keeps its rows for ever. `gap`
+    bounds how far event times (`et`, `right_time`) may lie apart on a stream, so that
+    join state can be dropped. Spark's outer stream joins need such a bound, so there it
+    must be given. The right event time is dropped from the result.
     """
     condition = _equal(on)
-    if left.isStreaming and right_time:
+    if left.isStreaming and how != "inner" and not (gap and right_time):
+        raise ValueError("an outer join of streams needs a gap and the right event time")
+    if left.isStreaming and right_time and gap:
         condition = condition & F.expr(
             f"{right_time} BETWEEN et - INTERVAL {gap} AND et + INTERVAL {gap}")
     joined = left.join(right, condition, how)
@@ -48,7 +51,7 @@ def interval_join(left, right, on, low_s, high_s, left_time="et", right_time="ri
                       f"AND {left_time} <= {right_time} + INTERVAL {high_s} SECONDS")
     if left.isStreaming or right.isStreaming:
         return left.join(right, _equal(on) & in_range, "inner")
-    width = (high_s - low_s) * 1_000_000
+    width = max(1, high_s - low_s) * 1_000_000
     first = F.expr(f"(unix_micros({right_time}) + {low_s * 1_000_000}) DIV {width}")
     last = F.expr(f"(unix_micros({right_time}) + {high_s * 1_000_000}) DIV {width}")
     cut_left = left.withColumn("left_stretch", F.expr(f"unix_micros({left_time}) DIV {width}"))

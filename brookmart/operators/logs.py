@@ -18,6 +18,9 @@ def parse_log(df_text):
     """
     record = F.from_json("value", f"{LOG}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
     parsed = df_text.select("value", F.inline(F.array(record)))
+    # As the only element of an array the text must be one record and nothing behind it.
+    alone = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]"))).eqNullSafe(F.lit(1))
+    parsed = parsed.withColumn("_bad", F.when(F.col("value").isNotNull() & ~alone, F.col("value")).otherwise(F.col("_bad")))
     return parsed.withColumn("ts", F.expr("try_cast(ts AS bigint)"))
 
 

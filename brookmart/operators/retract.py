@@ -5,11 +5,16 @@ from pyspark.sql import functions as F
 
 
 def to_amounts(df, amounts):
-    """Text amounts as decimals under their output names; missing ones are 0."""
+    """Text amounts as decimals under their output names; missing ones are 0.
+
+    An amount that is no number, or has more than 34 digits before the point, fails the job.
+    """
     kept = [c for c in df.columns if c not in amounts]
-    return df.select(*kept, *[F.coalesce(F.expr(f"try_cast({source} AS decimal(20,4))"),
-                                         F.lit(0).cast("decimal(20,4)")).alias(name)
-                              for source, name in amounts.items()])
+    return df.select(*kept, *[
+        F.when(F.col(source).isNull(), F.lit(0).cast("decimal(38,4)")).otherwise(F.coalesce(
+            F.expr(f"try_cast({source} AS decimal(38,4))"),
+            F.raise_error(F.concat(F.lit(f"bad amount in {source}: "), F.col(source))).cast("decimal(38,4)"))).alias(name)
+        for source, name in amounts.items()])
 
 
 def negated(df, amounts):
@@ -32,7 +37,12 @@ def retract_updates(df, key, order, amounts):
         from brookmart.streaming.state import retract_stream
         return retract_stream(df, key, order, amounts)
     last = df.groupBy(key).agg(F.max(F.struct(*order)).alias("_last")).select(key, "_last.*")
-    replaced = df.join(last, [key, *order], "left_anti").select(*df.columns)
+    # Null-safe: a version whose key or order is null is a version too.
+    newest = last.select(*[F.col(c).alias(f"_last_{c}") for c in (key, *order)])
+    same = F.lit(True)
+    for c in (key, *order):
+        same = same & F.col(c).eqNullSafe(F.col(f"_last_{c}"))
+    replaced = df.join(newest, same, "left_anti").select(*df.columns)
     return df.unionByName(negated(replaced, amounts))
 
 

@@ -24,7 +24,7 @@ def _day(column):
     return F.col(column).try_cast("date").cast("string")
 
 
-def order_detail(ods, gap="1 day"):
+def order_detail(ods, gap=None):
     """Ordered items with buyer, province, activity and coupon."""
     detail = branch(ods, "order_detail", "insert", [
         "id", "order_id", "sku_id", "sku_name", "create_time", "sku_num", "order_price",
@@ -44,7 +44,7 @@ def order_detail(ods, gap="1 day"):
     return joined.withColumn("date_id", _day("create_time")).select(*S.ORDER_DETAIL)
 
 
-def order_cancel(details, ods, gap="1 day"):
+def order_cancel(details, ods, gap=None):
     """Ordered items of orders that were cancelled."""
     cancelled = branch(ods, "order_info", "update", {"oc_id": "id", "cancel_time": "operate_time"},
                        where=changed_to("order_status", S.ORDER_CANCELLED, S.ORDER_CREATED))
@@ -67,7 +67,7 @@ def pay_success(details, ods, dic):
                          F.col("split_total_amount").alias("split_payment_amount"), F.col("pi_ts").alias("ts"))
 
 
-def order_refund(ods, dic, gap="1 day"):
+def order_refund(ods, dic, gap=None):
     """Refund requests with the province of their order and the names of their codes."""
     refund = branch(ods, "order_refund_info", "insert", {
         "id": "id", "user_id": "user_id", "order_id": "order_id", "sku_id": "sku_id",
@@ -83,7 +83,7 @@ def order_refund(ods, dic, gap="1 day"):
     return joined.withColumn("date_id", _day("create_time")).select(*S.ORDER_REFUND)
 
 
-def refund_pay(ods, dic, gap="1 day"):
+def refund_pay(ods, dic, gap=None):
     """Refunds that were paid out."""
     paid = branch(ods, "refund_payment", "update", {
         "id": "id", "order_id": "order_id", "sku_id": "sku_id", "payment_type_code": "payment_type",
