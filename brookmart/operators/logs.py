@@ -29,6 +29,11 @@ def _is_dirty():
             | F.col("ts").isNull())
 
 
+def mark_dirty(parsed):
+    """Records with `_dirty`: malformed, or without visitor or time. Null values are left out."""
+    return parsed.filter(F.col("value").isNotNull()).withColumn("_dirty", _is_dirty())
+
+
 def split_dirty(parsed):
     """(clean records, dirty text). Dirty: malformed, or without visitor or time."""
     clean = parsed.filter(~_is_dirty()).drop("value", "_bad")
@@ -41,7 +46,7 @@ def with_is_new(common, fixed):
     return F.when(fixed.isNull(), common).otherwise(F.map_concat(others, F.create_map(F.lit("is_new"), fixed)))
 
 
-def fix_is_new(logs):
+def fix_is_new(logs, ttl_ms=None):
     """Reset `is_new` of visitors who are known from an earlier day.
 
     A visitor's first record decides: if it says "new", every later "new" of that
@@ -51,15 +56,17 @@ def fix_is_new(logs):
     In batch, time and mark of the first record are packed into one number so that
     the search is a plain hash aggregate with map-side combine. Only visitors who
     started as new are joined back, on visitor and day. The streaming form keeps
-    the first day in state.
+    the first day in state, for ever or until it was not written for `ttl_ms`. Rows
+    marked `_dirty` pass through.
     """
     if logs.isStreaming:
         from brookmart.streaming.state import fix_is_new_stream
-        return fix_is_new_stream(logs)
+        return fix_is_new_stream(logs, ttl_ms)
     mid, mark = F.col("common")["mid"], F.col("common")["is_new"]
     claims_new = F.coalesce(mark == "1", F.lit(False))
     first = F.min(F.col("ts") * 2 + F.when(claims_new, 0).otherwise(1))
-    starters = (logs.groupBy(mid.alias("_visitor")).agg(first.alias("_first"))
+    known = logs.filter(~F.col("_dirty")) if "_dirty" in logs.columns else logs
+    starters = (known.groupBy(mid.alias("_visitor")).agg(first.alias("_first"))
                 .filter(F.col("_first") % 2 == 0)
                 .select("_visitor", day_of(F.expr("_first DIV 2")).alias("_visitor_day")))
     joined = logs.join(starters, (mid == F.col("_visitor")) & (day_of(F.col("ts")) == F.col("_visitor_day")), "left")
@@ -94,9 +101,10 @@ def log_records(clean, topics=None):
     """All records of a log in one pass: `topic, value` with the value as JSON.
 
     Each log row fans out to its records, so one write (routed by topic, or
-    partitioned by it) feeds every output and the input is read once.
+    partitioned by it) feeds every output and the input is read once. Rows marked
+    `_dirty` give their text to the topic "dirty".
     """
-    topics = topics or {kind: f"dwd_{kind}" for kind in KINDS}
+    topics = {**{kind: f"dwd_{kind}" for kind in [*KINDS, "dirty"]}, **(topics or {})}
     clean = clean.select("*", *[F.to_json(F.map_filter(m, lambda _, value: value.isNotNull())).alias(f"_{m}")
                                 for m in ("common", "page")])
     common, page, ts = F.col("_common"), F.col("_page"), F.col("ts").cast("string")
@@ -119,6 +127,8 @@ def log_records(clean, topics=None):
         many("action", "actions"),
     ]
     every = F.flatten(F.array_compact(F.array(*records)))
+    if "_dirty" in clean.columns:
+        every = F.when(F.col("_dirty"), one("dirty", F.lit(True), F.col("value"))).otherwise(every)
     return clean.select(F.inline(every))
 
 

@@ -22,20 +22,23 @@ def negated(df, amounts):
                        for c in df.columns])
 
 
-def retract_updates(df, key, order, amounts):
+def retract_updates(df, key, order, amounts, ttl_ms=None):
     """Every version of a key, and the negation of each version that was replaced.
 
     `order` (one or more columns) must order the versions of a key without ties.
     The negation keeps the columns of the row it cancels, including its time, so
     only the last version of each key remains in any sum.
 
+    A stream keeps the newest version of each key, for ever or until it was not
+    written for `ttl_ms`: a version that comes later than that replaces nothing.
+
     In batch the last version is found by an aggregate; the rows it leaves over are
     matched on key *and* order, which spreads the versions of a hot key.
     """
     order = [order] if isinstance(order, str) else list(order)
     if df.isStreaming:
         from brookmart.streaming.state import retract_stream
-        return retract_stream(df, key, order, amounts)
+        return retract_stream(df, key, order, amounts, ttl_ms)
     last = df.groupBy(key).agg(F.max(F.struct(*order)).alias("_last")).select(key, "_last.*")
     # Null-safe: a version whose key or order is null is a version too.
     newest = last.select(*[F.col(c).alias(f"_last_{c}") for c in (key, *order)])

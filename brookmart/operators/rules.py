@@ -89,13 +89,22 @@ def merge_cells(changes, order="seq"):
     return rows.select("sink_table", "row_key", data.alias("data")).filter(F.size("data") > 0)
 
 
-def dim_changes(ods, rules, database, order="seq"):
-    """Dimension row changes selected, projected and keyed by the rules."""
+def dim_changes(ods, rules, database, order="seq", project=True):
+    """Dimension row changes selected, keyed and (unless `project` is false) projected by the rules."""
     from brookmart.operators.cdc import valid_changes
     matched = match_rules(valid_changes(ods, database), rules, ["table"])
     row_key = F.col("data")[F.trim("sink_row_key")]
     keyed = matched.withColumn("row_key", row_key)
-    return project_by_rule(keyed).select("sink_table", "row_key", "type", "data", order)
+    kept = project_by_rule(keyed) if project else keyed
+    return kept.select("sink_table", "row_key", "type", "data", order)
+
+
+def project_rows(merged, rules):
+    """Merged rows of the dimensions that rules in force keep, cut to the columns they list."""
+    wanted = F.transform(F.split("sink_columns", ","), F.trim)
+    kept = merged.join(rules.select("sink_table", wanted.alias("wanted")), "sink_table")
+    cut = kept.withColumn("data", F.map_filter("data", lambda k, _: F.array_contains("wanted", k)))
+    return cut.drop("wanted").filter(F.size("data") > 0)
 
 
 def dim_table(merged, sink_table, columns):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from brookmart.functions.timecols import day_of
 
 
-def first_of_day(df, keys, ts="ts", flag="is_first", ties=(), slices=1):
+def first_of_day(df, keys, ts="ts", flag="is_first", ties=(), slices=1, ttl_ms=None):
     """Flag (1/0) the first row of each key on each day.
 
     `ts` is in milliseconds; `ties` orders rows of the same time. In batch the rank
@@ -15,12 +15,13 @@ def first_of_day(df, keys, ts="ts", flag="is_first", ties=(), slices=1):
     partition, then among those winners. A hot key is therefore ranked in pieces
     no larger than an input partition, and the second step sees one row per piece.
 
-    A stream keeps the days seen per key. With `slices` above 1 it works in the same
-    two steps, over that many slices of each key, for streams with hot keys.
+    A stream keeps the days seen per key, for ever or until they were not written for
+    `ttl_ms`. With `slices` above 1 it works in the same two steps, over that many
+    slices of each key, for streams with hot keys.
     """
     if df.isStreaming:
         from brookmart.streaming.state import first_of_day_stream
-        return first_of_day_stream(df, keys, ts, flag, slices)
+        return first_of_day_stream(df, keys, ts, flag, slices, ttl_ms=ttl_ms)
     order = [F.col(ts), *[F.col(c) for c in ties]]
     df = df.withColumn("_day", day_of(F.col(ts))).withColumn("_piece", F.spark_partition_id())
     local = Window.partitionBy(*keys, "_day", "_piece").orderBy(*order)

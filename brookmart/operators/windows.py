@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brookmart.functions.timecols import day_of, window_texts
+from brookmart.functions.timecols import day_of, gate, window_texts, with_event_time
 from brookmart.operators.retract import last_versions, retract_updates
 from brookmart.operators.visits import first_of_day, session_flag
 from brookmart.schemas import HOME_DETAIL_WINDOW, KEYWORD_WINDOW, TRAFFIC_WINDOW
 
+HOME_PAGES = ["home", "good_detail"]
 TRAFFIC_DIMS = ["vc", "ch", "ar", "is_new"]
 
 
@@ -28,13 +29,30 @@ def _start_texts(df, seconds, start="_start"):
     return window_texts(df.withColumn("window", bounds).drop(start))
 
 
-def traffic_window(pages, seconds=10, slices=1):
+def _behind_state(df, unit, delay):
+    """Event time and watermark of rows that came through a stateful step.
+
+    A watermark before that step would end the query at the first row behind it.
+    """
+    return with_event_time(df, "ts", unit, delay)
+
+
+def _without_watermark(df):
+    """`df` as input of a stateful step, which must not have a watermark yet."""
+    if "et" in df.columns and "spark.watermarkDelayMs" in df.schema["et"].metadata:
+        raise ValueError("the window sets the watermark behind its stateful step: read the stream with delay=None")
+    return df.drop("et")
+
+
+def traffic_window(pages, seconds=10, slices=1, delay="0 seconds", ttl_ms=None):
     """Visitors, sessions, views and time on page by version, channel, area, is_new.
 
-    `slices` spreads hot visitors of a stream (see `first_of_day`).
+    For streams: `slices` spreads hot visitors and `ttl_ms` ends state (see
+    `first_of_day`); `delay` is how long a window waits for late rows.
     """
     if pages.isStreaming:
-        flagged = session_flag(first_of_day(pages, ["mid"], flag="uv_ct", slices=slices))
+        first = first_of_day(_without_watermark(pages), ["mid"], flag="uv_ct", slices=slices, ttl_ms=ttl_ms)
+        flagged = session_flag(_behind_state(first, "ms", delay))
         sums = flagged.groupBy(F.window("et", f"{seconds} seconds"), *TRAFFIC_DIMS).agg(
             F.sum("uv_ct").alias("uv_ct"), F.sum("sv_ct").alias("sv_ct"),
             F.count(F.lit(1)).alias("pv_ct"), F.sum("during_time").alias("dur_sum"))
@@ -62,17 +80,23 @@ def traffic_window(pages, seconds=10, slices=1):
     return _start_texts(sums, seconds).select(*TRAFFIC_WINDOW)
 
 
-def home_detail_window(pages, seconds=10, slices=1):
-    """First visits of the day to the home page and to product pages."""
-    is_home = F.col("page_id") == "home"
+def home_detail_window(pages, seconds=10, slices=1, delay="0 seconds", ttl_ms=None):
+    """First visits of the day to the home page and to product pages.
+
+    Other pages of a stream only move its watermark. Parameters as for `traffic_window`.
+    """
+    is_home, wanted = F.col("page_id") == "home", F.col("page_id").isin(HOME_PAGES)
     if pages.isStreaming:
-        flagged = first_of_day(pages, ["mid", "page_id"], flag="uv", slices=slices)
+        from brookmart.streaming.state import first_of_day_stream
+        marked = _without_watermark(pages).withColumn("_wanted", F.coalesce(wanted, F.lit(False)))
+        first = first_of_day_stream(marked, ["mid", "page_id"], "ts", "uv", slices, "_wanted", ttl_ms)
+        flagged = gate(_behind_state(first, "ms", delay), F.col("_wanted"))
         sums = flagged.groupBy(F.window("et", f"{seconds} seconds")).agg(
             F.sum(F.when(is_home, F.col("uv")).otherwise(0)).alias("home_uv_ct"),
             F.sum(F.when(is_home, 0).otherwise(F.col("uv"))).alias("good_detail_uv_ct"))
         return window_texts(sums).select(*HOME_DETAIL_WINDOW)
 
-    rows = pages.select(_window_start("ts", seconds).alias("_start"), "mid", "page_id",
+    rows = pages.filter(wanted).select(_window_start("ts", seconds).alias("_start"), "mid", "page_id",
                         day_of(F.col("ts")).alias("_day"), "ts")
     by_window, by_visitor = [F.col("_start")], [F.col("mid"), F.col("page_id"), F.col("_day")]
     both = rows.groupingSets([by_window, by_visitor], *by_window, *by_visitor).agg(
@@ -87,7 +111,7 @@ def home_detail_window(pages, seconds=10, slices=1):
     return _start_texts(sums, seconds).select(*HOME_DETAIL_WINDOW)
 
 
-def sku_window(details, key, order, amounts, seconds=10):
+def sku_window(details, key, order, amounts, seconds=10, delay="0 seconds", ttl_ms=None):
     """Amounts by product and window, counting only the last version of a detail.
 
     A window all of whose rows were replaced stays in the result with sums of 0,
@@ -95,9 +119,13 @@ def sku_window(details, key, order, amounts, seconds=10):
     these pairs cancel: it adds the last version of each key to zero rows for the
     (product, window) pairs that exist. Both come from aggregates that combine
     before their shuffle; the zero rows read three columns only.
+
+    A stream waits `delay` for late rows; a negation whose window is closed by then is
+    dropped with it. `ttl_ms` ends its state (see `retract_updates`).
     """
     if details.isStreaming:
-        net = retract_updates(details, key, order, amounts)
+        net = retract_updates(_without_watermark(details), key, order, amounts, ttl_ms)
+        net = _behind_state(net, "s", delay)
         sums = net.groupBy(F.window("et", f"{seconds} seconds"), "sku_id").agg(
             *[F.sum(c).cast("decimal(38,4)").alias(c) for c in amounts])
         return window_texts(sums)

@@ -354,19 +354,24 @@ SQL = {
     "dws_sku_order": f"""with {SKU}, {SKU_WINDOW}, {CHAIN} select stt, edt, cur_date, trademark_id, trademark_name,
         category1_id, category1_name, category2_id, category2_name, category3_id, category3_name, sku_id, sku_name,
         spu_id, spu_name, {', '.join(AMOUNTS)} from sums left join chain on sku_id = chain_id""",
-    # A stream emits the windows that end by the newest event time.
     "stream_fix_is_new": f"with {LOG} select mid, is_new, ts from fixed",
     "uv_stream": f"""with {LOG} select mid, ts,
         (row_number() over (partition by mid, day order by ts) = 1)::bigint as uv from pages""",
-    "stream_traffic_window": traffic("log", "where start + 10000 <= (select max(ts) from flagged)"),
-    "stream_home_detail": home_detail("where start + 10000 <= (select max(ts) from pages)"),
-    "stream_sku_window": f"""with {SKU}, {SKU_WINDOW} select * from sums
-        where edt <= (select strftime(make_timestamp(max(ts) * 1000000), {STAMP}) from ranked)""",
+    "late_drop": f"""with {LOG}, cut as (select ms - ms % 10000 as start from ev where k <> 13)
+        select {bounds('start', 10)}, count(*) as n from cut group by start""",
+    "rule_ddl": f"""with {PART_CHANGES} select row_key, merged.p_name,
+          case when part.p_partkey % 10 <> 0 then {text('p_size')} end as p_size
+        from merged join part on row_key = {text('part.p_partkey')}""",
 }
 
-# Streams that end in a store hold the same rows as the batch form.
-SQL["stream_upsert_latest"] = SQL["upsert_latest"]
-SQL["stream_log_records"] = SQL["log_records"]
-SQL["stream_base_db_route"] = SQL["base_db_route"]
-SQL["stream_dim_sync"] = SQL["dim_sync"]
-SQL["stream_pay_success"] = SQL["dwd_pay_success"]
+# Streams give the rows of the batch form.
+STREAMS = {
+    "stream_traffic_window": "dws_traffic_window", "stream_home_detail": "dws_home_detail",
+    "stream_sku_window": "sku_window", "stream_sku_order": "dws_sku_order", "stream_keyword_window": "dws_keyword_window",
+    "stream_upsert_latest": "upsert_latest", "stream_base_db_route": "base_db_route", "stream_dim_sync": "dim_sync",
+    "stream_pay_success": "dwd_pay_success", "stream_order_detail": "dwd_order_detail",
+    "stream_order_cancel": "dwd_order_cancel", "stream_order_refund": "dwd_order_refund",
+    "stream_refund_pay": "dwd_refund_pay", "stream_comment_info": "dwd_comment_info", "stream_cart_add": "dwd_cart_add",
+}
+SQL.update({stream: SQL[batch] for stream, batch in STREAMS.items()})
+SQL["stream_log_records"] = f"{SQL['log_records']} union all select 'dwd_dirty', value from ({SQL['log_dirty']})"

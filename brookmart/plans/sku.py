@@ -7,12 +7,21 @@ from brookmart.operators.windows import sku_window
 from brookmart.schemas import SKU_AMOUNTS, SKU_ORDER_WINDOW
 
 
-def sku_order_window(details, dims, order, seconds=10):
+def sku_sums(details, order, seconds=10, **options):
+    """Amounts by product and window; a stream looks its dimensions up when it writes."""
+    amounts = list(SKU_AMOUNTS.values())
+    return sku_window(to_amounts(details, SKU_AMOUNTS), "id", order, amounts, seconds, **options)
+
+
+def with_products(sums, dims):
+    """The sums with the dimensions of their products."""
+    return enrich_snowflake(sums, dims, SKU_CHAIN).select(*SKU_ORDER_WINDOW)
+
+
+def sku_order_window(details, dims, order, seconds=10, **options):
     """Aggregate first, look up afterwards: dimensions join one row per window.
 
     `details` is the order-detail fact, `order` the column(s) that order the
     versions of one detail, `dims` the dimensions of `SKU_CHAIN` by name.
     """
-    amounts = list(SKU_AMOUNTS.values())
-    net = sku_window(to_amounts(details, SKU_AMOUNTS), "id", order, amounts, seconds)
-    return enrich_snowflake(net, dims, SKU_CHAIN).select(*SKU_ORDER_WINDOW)
+    return with_products(sku_sums(details, order, seconds, **options), dims)

@@ -55,20 +55,29 @@ def order_cancel(details, ods, gap=None):
                          *S.ORDER_CANCEL[10:16], F.col("oc_ts").alias("ts"))
 
 
-def pay_success(details, ods, dic):
-    """Ordered items paid within 30 minutes of ordering (5 seconds of slack)."""
+def payments(details, ods):
+    """Ordered items paid within 30 minutes of ordering (5 seconds of slack), without names."""
     paid = branch(ods, "payment_info", "update", {
         "pi_order_id": "order_id", "payment_type_code": "payment_type", "callback_time": "callback_time"},
         where=changed_to("payment_status", S.PAYMENT_DONE))
     paid = _without_time(paid, "pi").withColumnRenamed("ts", "pi_ts")
-    joined = interval_join(details, paid, [("order_id", "pi_order_id")], -1800, 5, "et", "pi_et")
+    return interval_join(details, paid, [("order_id", "pi_order_id")], -1800, 5, "et", "pi_et")
+
+
+def with_payment_names(joined, dic):
+    """Payments with the name of their type."""
     joined = lookup_inner(joined, dic, "payment_type_code", "dic_code", {"info.dic_name": "payment_type_name"})
     return joined.select(F.col("id").alias("order_detail_id"), *S.PAY_SUCCESS[1:16],
                          F.col("split_total_amount").alias("split_payment_amount"), F.col("pi_ts").alias("ts"))
 
 
-def order_refund(ods, dic, gap=None):
-    """Refund requests with the province of their order and the names of their codes."""
+def pay_success(details, ods, dic):
+    """Ordered items paid in time, with the name of the payment type."""
+    return with_payment_names(payments(details, ods), dic)
+
+
+def refund_requests(ods, gap=None):
+    """Refund requests with the province of their order."""
     refund = branch(ods, "order_refund_info", "insert", {
         "id": "id", "user_id": "user_id", "order_id": "order_id", "sku_id": "sku_id",
         "create_time": "create_time", "refund_type_code": "refund_type",
@@ -76,15 +85,24 @@ def order_refund(ods, dic, gap=None):
         "refund_num": "refund_num", "refund_amount": "refund_amount"})
     order = _without_time(branch(ods, "order_info", "update", {"oi_id": "id", "province_id": "province_id"},
                                  keep=(), where=changed_to("order_status", S.ORDER_REFUND_ASKED)), "oi")
-    joined = fact_join(refund, order, [("order_id", "oi_id")], "inner", gap, "oi_et")
+    return fact_join(refund, order, [("order_id", "oi_id")], "inner", gap, "oi_et")
+
+
+def with_refund_names(joined, dic):
+    """Refund requests with the names of their type and reason."""
     joined = lookup_inner(joined, dic, "refund_type_code", "dic_code", {"info.dic_name": "refund_type_name"})
     joined = lookup_inner(joined, dic, "refund_reason_type_code", "dic_code",
                           {"info.dic_name": "refund_reason_type_name"})
     return joined.withColumn("date_id", _day("create_time")).select(*S.ORDER_REFUND)
 
 
-def refund_pay(ods, dic, gap=None):
-    """Refunds that were paid out."""
+def order_refund(ods, dic, gap=None):
+    """Refund requests with the province of their order and the names of their codes."""
+    return with_refund_names(refund_requests(ods, gap), dic)
+
+
+def refunds_paid(ods, gap=None):
+    """Refunds that were paid out, without names."""
     paid = branch(ods, "refund_payment", "update", {
         "id": "id", "order_id": "order_id", "sku_id": "sku_id", "payment_type_code": "payment_type",
         "callback_time": "callback_time", "refund_amount": "total_amount"},
@@ -97,19 +115,37 @@ def refund_pay(ods, dic, gap=None):
         where=changed_to("order_status", S.ORDER_REFUNDED)), "oi")
     joined = fact_join(paid, request, [("order_id", "ri_order_id"), ("sku_id", "ri_sku_id")],
                        "inner", gap, "ri_et")
-    joined = fact_join(joined, order, [("order_id", "oi_id")], "inner", gap, "oi_et")
+    return fact_join(joined, order, [("order_id", "oi_id")], "inner", gap, "oi_et")
+
+
+def with_refund_payment_names(joined, dic):
+    """Paid refunds with the name of the payment type."""
     joined = lookup_inner(joined, dic, "payment_type_code", "dic_code", {"info.dic_name": "payment_type_name"})
     return joined.withColumn("date_id", _day("callback_time")).select(*S.REFUND_PAY)
 
 
+def refund_pay(ods, dic, gap=None):
+    """Refunds that were paid out, with the name of the payment type."""
+    return with_refund_payment_names(refunds_paid(ods, gap), dic)
+
+
 def cart_additions(ods):
     """Items put in carts."""
     return cart_add(ods).select(*S.CART_ADD)
 
 
-def comments(ods, dic):
-    """Comments with the name of their appraisal."""
-    rows = branch(ods, "comment_info", ["insert", "update"],
+def comment_rows(ods):
+    """Comments, without names."""
+    return branch(ods, "comment_info", ["insert", "update"],
                   ["id", "user_id", "sku_id", "appraise", "comment_txt"])
+
+
+def with_appraisal_names(rows, dic):
+    """Comments with the name of their appraisal."""
     named = lookup_inner(rows, dic, "appraise", "dic_code", {"info.dic_name": "appraise_name"})
     return named.select(*S.COMMENT)
+
+
+def comments(ods, dic):
+    """Comments with the name of their appraisal."""
+    return with_appraisal_names(comment_rows(ods), dic)

@@ -18,14 +18,14 @@ def split_logs(df_text):
     return {"dirty": dirty, **split_log(fix_is_new(clean))}
 
 
-def traffic_window(page_log, seconds=10, slices=1):
+def traffic_window(page_log, seconds=10, **options):
     """Visitors, sessions, views and time by version, channel, area and is_new."""
-    return windows.traffic_window(pages(page_log), seconds, slices)
+    return windows.traffic_window(pages(page_log), seconds, **options)
 
 
-def home_detail_window(page_log, seconds=10, slices=1):
+def home_detail_window(page_log, seconds=10, **options):
     """Unique visitors of the home page and of product pages."""
-    return windows.home_detail_window(pages(page_log, ["home", "good_detail"]), seconds, slices)
+    return windows.home_detail_window(pages(page_log), seconds, **options)
 
 
 def keyword_window(page_log, seconds=5, segmenter=None):

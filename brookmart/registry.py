@@ -15,8 +15,9 @@ from brookmart.sinks import topics as topic_sinks
 from brookmart.sources import rules as rule_sources
 from brookmart.sources import topics
 from brookmart.sources.tables import dictionary
-from brookmart.streaming.jobs import (dims_to, log_split_stream, read_dims, records_to, routed_to, rows_to,
-                                     run_stream, upsert_to)
+from brookmart.sinks.tables import apply_rule_ddl
+from brookmart.streaming.jobs import (dims_to, log_split_stream, looked_up, read_dims, records_to, routed_to,
+                                     rows_to, rule_tables_to, run_stream, upsert_to)
 
 AMOUNTS = list(SKU_AMOUNTS.values())
 ORDER_TABLES = ["order_detail", "order_info", "order_detail_activity", "order_detail_coupon"]
@@ -418,51 +419,90 @@ def dws_sku_order(spark, t):
 
 # --- streams --------------------------------------------------------------------------
 
-def _event_stream(spark, t):
+#: Every stream reads its table in so many micro-batches.
+PIECES = 4
+
+
+def _in_pieces(df, folder, by, closing=None):
+    """`df` as a stream of `PIECES` micro-batches in the order of `by`.
+
+    The pieces are written one after the other, each as as many files as a
+    micro-batch takes, so a batch is a piece. `closing` maps columns to SQL
+    expressions: a last row like that ends the windows and joins that wait for time,
+    and is no part of any result.
+    """
+    spark, files = df.sparkSession, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.write.parquet(f"{folder}/whole")
+    whole = spark.read.parquet(f"{folder}/whole")
+    cuts = whole.agg(F.percentile_approx(F.expr(by), [i / PIECES for i in range(1, PIECES)], 10_000)).first()[0] or []
+    above = F.lit(True)
+    for i in range(len(cuts) + 1):
+        piece = whole.filter(above & (F.expr(by) <= F.lit(cuts[i]))) if i < len(cuts) else whole.filter(above)
+        piece.repartition(files).write.mode("append").parquet(f"{folder}/in")
+        above = F.expr(by) > F.lit(cuts[i]) if i < len(cuts) else above
+    if closing:
+        last = whole.crossJoin(whole.agg(F.max(F.expr(by)).alias("_last"))).limit(1)  # one row beside one row
+        last.withColumns({c: F.expr(e).cast(df.schema[c].dataType) for c, e in closing.items()}).drop("_last").write.mode(
+            "append").parquet(f"{folder}/in")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/in")
+
+
+CLOSING_EVENT = {"ts": "_last + interval 1 day", "user_id": "-1", "event_type": "'click'", "props": "'{\"k\": 0}'"}
+
+
+def _event_stream(t, closing=None):
     """The events table as a stream of log text."""
-    schema = spark.read.parquet(f"{t.folder}/events.parquet").schema
-    stream = spark.readStream.schema(schema).parquet(f"{t.folder}/events.parquet*")
-    return V.log_text(t, stream.withColumn("ts", F.col("ts").cast("timestamp")))
+    return V.log_text(t, _in_pieces(t.events, work_folder(t.spark, "events"), "ts", closing))
 
 
-def _page_stream(spark, t):
-    """Page records with event time; repair of is_new is a stream of its own."""
-    clean, _ = logs.split_dirty(logs.parse_log(_event_stream(spark, t)))
-    return with_event_time(logs.split_log(clean)["page"])
+def _page_stream(t, closing=None):
+    """Page records with a repaired mark; the windows set the watermark."""
+    return logs.split_log(traffic.cleaned_log(_event_stream(t, closing)))["page"]
 
 
 @query
 def stream_fix_is_new(spark, t):
-    clean, _ = logs.split_dirty(logs.parse_log(_event_stream(spark, t)))
-    fixed = logs.fix_is_new(clean).select(
+    fixed = traffic.cleaned_log(_event_stream(t)).select(
         F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"), "ts")
     return drain(spark, fixed, "fix")
 
 
 @query
 def uv_stream(spark, t):
-    flagged = visits.first_of_day(logs.pages(_page_stream(spark, t)), ["mid"], flag="uv")
+    flagged = visits.first_of_day(logs.pages(_page_stream(t)), ["mid"], flag="uv")
     return drain(spark, flagged.select("mid", "ts", "uv"), "uv")
 
 
 @query
 def stream_traffic_window(spark, t):
-    return drain(spark, traffic.traffic_window(_page_stream(spark, t)), "traffic")
+    return drain(spark, traffic.traffic_window(_page_stream(t, CLOSING_EVENT)), "traffic")
 
 
 @query
 def stream_home_detail(spark, t):
-    return drain(spark, traffic.home_detail_window(_page_stream(spark, t)), "home")
+    return drain(spark, traffic.home_detail_window(_page_stream(t, CLOSING_EVENT)), "home")
+
+
+@query
+def late_drop(spark, t):
+    """Events with k = 13 come after all windows are closed, and are dropped."""
+    rows = t.events.withColumn("_late", F.expr("get_json_object(props, '$.k') = '13'"))
+    folder = work_folder(spark, "late")
+    stream = _in_pieces(rows.filter("not _late"), folder, "ts", {"ts": "_last + interval 1 day"})
+    counts = with_event_time(stream.selectExpr("unix_millis(ts) as ts")).groupBy(F.window("et", "10 seconds")).agg(
+        F.count(F.lit(1)).alias("n"))
+    for _ in range(2):  # the second run goes on from the checkpoint of the first
+        _run(window_texts(counts), rows_to(f"{folder}/out"), folder)
+        rows.filter("_late").write.mode("append").parquet(f"{folder}/in")
+    return spark.read.option("basePath", f"{folder}/out").parquet(f"{folder}/out").drop("batch_id")
 
 
 def _stream_of(spark, t, *names):
     """The test tables, with the named ones read as streams."""
     tables = V.Tables(spark, t.folder)
     for name in names:
-        schema = spark.read.parquet(f"{t.folder}/{name}.parquet").schema
-        stream = spark.readStream.schema(schema).parquet(f"{t.folder}/{name}.parquet*")
-        times = [f.name for f in schema.fields if f.dataType.typeName() == "timestamp_ntz"]
-        setattr(tables, name, stream.withColumns({c: F.col(c).cast("timestamp") for c in times}) if times else stream)
+        table = getattr(t, name)
+        setattr(tables, name, _in_pieces(table, work_folder(spark, name), f"pmod(xxhash64({', '.join(table.columns)}), 1000)"))
     return tables
 
 
@@ -470,24 +510,48 @@ def _run(stream, write_batch, folder):
     run_stream(stream, write_batch, f"{folder}/checkpoint", drain=True).awaitTermination()
 
 
+#: Versions of a detail may lie years apart: a window stays open for so long.
+VERSIONS_APART = "4000 days"
+
+
+def _sku_stream(t):
+    """Line items in any order, then one that closes all windows."""
+    rows = _in_pieces(t.lineitem, work_folder(t.spark, "lineitem"),
+                      "pmod(xxhash64(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate), 1000)",
+                      {"l_orderkey": "-1", "l_shipdate": "l_shipdate + interval 8000 days"})
+    tables = V.Tables(t.spark, t.folder)
+    tables.lineitem = rows
+    return V.sku_details(tables)
+
+
 @query
 def stream_sku_window(spark, t):
-    details = retract.to_amounts(V.sku_details(_stream_of(spark, t, "lineitem")), SKU_AMOUNTS)
-    return drain(spark, windows.sku_window(with_event_time(details, "ts", "s"), "id", V.VERSION, AMOUNTS), "sku")
+    details = retract.to_amounts(_sku_stream(t), SKU_AMOUNTS)
+    return drain(spark, windows.sku_window(details, "id", V.VERSION, AMOUNTS, delay=VERSIONS_APART), "sku")
+
+
+@query
+def stream_sku_order(spark, t):
+    return _looked_up(spark, sku.sku_sums(_sku_stream(t), V.VERSION, delay=VERSIONS_APART), lambda: V.sku_dims(t), sku.with_products)
+
+
+@query
+def stream_keyword_window(spark, t):
+    pages = _in_pieces(V.search_pages(t).drop("et"), work_folder(spark, "search"), "ts", {"ts": "_last + 86400000"})
+    return drain(spark, traffic.keyword_window(with_event_time(pages)), "keywords")
 
 
 @query
 def stream_upsert_latest(spark, t):
     folder = work_folder(spark, "upsert")
     _run(V.sku_details(_stream_of(spark, t, "lineitem")), upsert_to(f"{folder}/log", ["id"], V.VERSION), folder)
-    return topic_sinks.read_upsert(spark, f"{folder}/log", "id", V.VERSION)
+    return topic_sinks.latest_per_key(spark.read.parquet(f"{folder}/log").drop("batch_id"), ["id"], V.VERSION)
 
 
 @query
 def stream_log_records(spark, t):
     folder = work_folder(spark, "records")
-    records, _ = log_split_stream(_event_stream(spark, t))
-    _run(records, records_to({"format": "text", "path": f"{folder}/out"}), folder)
+    _run(log_split_stream(_event_stream(t)), records_to({"format": "text", "path": f"{folder}/out"}), folder)
     return spark.read.text(f"{folder}/out").select("topic", "value")
 
 
@@ -499,12 +563,88 @@ def stream_base_db_route(spark, t):
     return spark.read.text(f"{folder}/out").select("topic", "value")
 
 
+def _dim_changes_to(spark, t, folder):
+    """A topic of part changes in the order of `seq`, written to the dimension changelog."""
+    changes = V.part_changes(t)
+    text = changes.select(F.to_json(F.struct(*[c for c in changes.columns if c != "seq"])).alias("value"), "seq")
+    _in_pieces(text, folder, "seq")
+    topic = topics.read_text_topic(spark, "topic_db", {"format": "parquet", "path": f"{folder}/in", "schema": "value string, seq bigint"},
+                                   order="seq")
+    _run(topics.read_ods_db(topic), dims_to(lambda: V.dim_rules(spark), f"{folder}/log", V.DATABASE), folder)
+    return f"{folder}/log"
+
+
 @query
 def stream_dim_sync(spark, t):
-    folder = work_folder(spark, "dims")
-    _run(V.part_changes(_stream_of(spark, t, "part", "supplier")),
-         dims_to(lambda: V.dim_rules(spark), f"{folder}/log", V.DATABASE), folder)
-    return read_dims(spark, f"{folder}/log").select("sink_table", "row_key", F.explode("data").alias("column_name", "value"))
+    log = _dim_changes_to(spark, t, work_folder(spark, "dims"))
+    return read_dims(spark, log, V.dim_rules(spark)).select("sink_table", "row_key", F.explode("data").alias("column_name", "value"))
+
+
+@query
+def rule_ddl(spark, t):
+    """A rule makes a table, its update adds a column; the table is filled anew from the changelog."""
+    folder = work_folder(spark, "ddl")
+    log = _dim_changes_to(spark, t, folder)
+    first = V.dim_rules(spark)
+    later = first.withColumns({"op": F.lit("u"), "sink_columns": F.lit("p_name,p_size"), "seq": F.lit(2).cast("bigint")})
+    database = f"rules_{folder[-32:]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
+    apply_rule_ddl(spark, first, database)
+    rule_tables_to(log, database)(later, 0)
+    return spark.table(f"{database}.dim_part")
+
+
+def _looked_up(spark, stream, dims, enrich):
+    """Run a stream whose rows are looked up in the dimensions of each batch, and read it back."""
+    folder = work_folder(spark, "facts")
+    _run(stream, looked_up(rows_to(f"{folder}/out"), dims, enrich), folder)
+    return spark.read.option("basePath", f"{folder}/out").parquet(f"{folder}/out").drop("batch_id")
+
+
+def _ods_stream(t, *names):
+    """Row changes as a topic in the order of time, then one of no table that ends all joins."""
+    folder = work_folder(t.spark, "ods")
+    text = V.ods(t, *names).drop("et").select(F.to_json(F.struct("*")).alias("value"), "ts")
+    rows = _in_pieces(text, folder, "ts", {
+        "value": f"""concat('{{"database":"{V.DATABASE}","table":"none","type":"insert","ts":', _last + 86400 * 30000L, '}}')"""})
+    return topics.read_ods_db(rows.select("value"))
+
+
+#: The test tables' activities and coupons have time 0, decades before their details.
+APART = "25000 days"
+
+
+@query
+def stream_order_detail(spark, t):
+    return drain(spark, trade.order_detail(_ods_stream(t, *ORDER_TABLES), APART), "details")
+
+
+@query
+def stream_order_cancel(spark, t):
+    details = topic_sinks.upsert_records(trade.order_detail(V.ods(t, *ORDER_TABLES)), ["id"]).select("value")
+    facts = topics.read_order_detail(_in_pieces(details, work_folder(spark, "details"), "pmod(xxhash64(value), 1000)"))
+    return drain(spark, trade.order_cancel(facts, _ods_stream(t, "order_info")), "cancel")
+
+
+@query
+def stream_order_refund(spark, t):
+    return _looked_up(spark, trade.refund_requests(_ods_stream(t, *REFUND_TABLES)), lambda: V.dictionary(spark), trade.with_refund_names)
+
+
+@query
+def stream_refund_pay(spark, t):
+    return _looked_up(spark, trade.refunds_paid(_ods_stream(t, *REFUND_TABLES)), lambda: V.dictionary(spark),
+                      trade.with_refund_payment_names)
+
+
+@query
+def stream_comment_info(spark, t):
+    return _looked_up(spark, trade.comment_rows(_ods_stream(t, "comment_info")), lambda: V.dictionary(spark), trade.with_appraisal_names)
+
+
+@query
+def stream_cart_add(spark, t):
+    return drain(spark, trade.cart_additions(_ods_stream(t, "cart_info")), "cart")
 
 
 @query
@@ -514,6 +654,5 @@ def stream_pay_success(spark, t):
     facts.select("value").write.mode("overwrite").parquet(f"{folder}/details")
     text = topics.read_text_topic(spark, "details", {"format": "parquet", "path": f"{folder}/details"})
     payments = V.payment_updates(_stream_of(spark, t, "orders"))
-    paid = trade.pay_success(topics.read_order_detail(text, "3 seconds"), with_event_time(payments, "ts", "s"),
-                             V.dictionary(spark))
-    return drain(spark, paid, "paid")
+    paid = trade.payments(topics.read_order_detail(text, "4000 days"), with_event_time(payments, "ts", "s", "4000 days"))
+    return _looked_up(spark, paid, lambda: V.dictionary(spark), trade.with_payment_names)

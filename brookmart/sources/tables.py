@@ -13,7 +13,7 @@ def read_jdbc(spark, table, conn):
 
 
 def read_dim(spark, path, columns=None):
-    """A dimension, as stored. Read anew by every micro-batch, so it is never stale."""
+    """A dimension as stored now. A stream that looks up in it must read it in every batch (see `looked_up`)."""
     dim = spark.read.parquet(path)
     return dim.select(*columns) if columns else dim
 

@@ -1,9 +1,10 @@
 """Running pipelines as streams."""
 from __future__ import annotations
 
-from brookmart.operators.logs import KINDS, log_records, split_dirty, parse_log, fix_is_new
-from brookmart.operators.rules import current_rules, dim_changes
-from brookmart.sinks.topics import write_routed, write_upsert
+from brookmart.operators.logs import fix_is_new, log_records, mark_dirty, parse_log
+from brookmart.operators.rules import current_rules, dim_changes, merge_cells, project_rows
+from brookmart.sinks.topics import (write_json_rows, write_routed, write_text_topic, write_upsert,
+                                    write_upsert_topic)
 
 
 def run_stream(df, write_batch, checkpoint, every="5 seconds", drain=False, mode="append", name=None):
@@ -41,13 +42,41 @@ def records_to(conn):
     return write
 
 
+def text_to(topic, conn):
+    """Batch writer: the `value` texts of one topic."""
+    def write(batch, batch_id):
+        write_text_topic(batch, topic, conn, batch_id)
+    return write
+
+
+def json_to(table, conn, columns=None):
+    """Batch writer: JSON rows for the load folder of a table."""
+    def write(batch, batch_id):
+        write_json_rows(batch, table, conn, columns, batch_id)
+    return write
+
+
+def keyed_to(keys, topic, conn):
+    """Batch writer: changes of a keyed topic; rows flagged `_deleted` become tombstones."""
+    def write(batch, batch_id):
+        write_upsert_topic(batch, keys, topic, conn)
+    return write
+
+
 def log_split_stream(df_text, topics=None):
-    """Cleaned, repaired and split log records (`topic, value`), dirty text included."""
-    from pyspark.sql import functions as F
-    topics = {**{kind: f"dwd_{kind}" for kind in [*KINDS, "dirty"]}, **(topics or {})}
-    clean, dirty = split_dirty(parse_log(df_text))
-    records = log_records(fix_is_new(clean), topics)
-    return records, dirty.select(F.lit(topics["dirty"]).alias("topic"), "value")
+    """Cleaned, repaired and split log records (`topic, value`) and dirty text, in one pass."""
+    return log_records(fix_is_new(mark_dirty(parse_log(df_text))), topics)
+
+
+def looked_up(write, dims, enrich):
+    """Batch writer: `enrich(batch, dims())`, then `write`.
+
+    `dims` is a function, called by every batch: a DataFrame made before the stream
+    starts would go on listing the files of that time.
+    """
+    def enriched(batch, batch_id):
+        write(enrich(batch, dims()), batch_id)
+    return enriched
 
 
 def routed_to(rules, conn, keys=("table", "type")):
@@ -63,36 +92,45 @@ def routed_to(rules, conn, keys=("table", "type")):
     return write
 
 
-def dims_to(rules, path, database):
+def dims_to(rules, path, database, order="seq"):
     """Batch writer: dimension row changes under the rules in force, as a changelog.
 
-    `read_dims` merges that log into current rows.
+    `order` orders the changes of a row within a batch: the offset in its topic (see
+    `read_text_topic`), or `ts` where a row changes at most once a second. The log
+    keeps all columns, so that a rule which lists more of them later finds them, and
+    is partitioned by dimension. `read_dims` merges it into current rows.
     """
     def write(batch, batch_id):
         in_force = current_rules(rules(), ["source_table"])
-        write_upsert(dim_changes(batch, in_force, database), path, batch_id)
+        write_upsert(dim_changes(batch, in_force, database, order, project=False), path, batch_id, parts=["sink_table"])
     return write
 
 
-def read_dims(spark, path, order="seq"):
-    """Current dimension rows of the changelog written by `dims_to`."""
-    from pyspark.sql import functions as F
+def read_dims(spark, path, rules, order="seq"):
+    """Current dimension rows of the changelog written by `dims_to`, under `rules` (changes).
 
-    from brookmart.operators.rules import merge_cells
+    Read it by every batch that looks up in them (see `looked_up`).
+    """
+    from pyspark.sql import functions as F
     log = spark.read.parquet(path).withColumn("_order", F.struct("batch_id", order))
-    return merge_cells(log.drop("batch_id", order), "_order")
+    return project_rows(merge_cells(log.drop("batch_id", order), "_order"), current_rules(rules, ["source_table"]))
 
 
-def rule_tables_to(path, database):
+def rule_tables_to(path, database, order="seq"):
     """Batch writer for the stream of dimension rules: keep their tables in step.
 
     Tables are created, dropped and recreated as the rules say, and those that are
-    new are filled from the changelog at `path`, so an update loses no rows.
+    new are filled from the changelog at `path`, so an update loses no rows. Only the
+    partition of each new table is read.
     """
+    from pyspark.sql import functions as F
+
     from brookmart.sinks.tables import apply_rule_ddl, refresh_dim_table
 
     def write(batch, batch_id):
         spark = batch.sparkSession
         for rule in apply_rule_ddl(spark, batch, database).values():
-            refresh_dim_table(spark, read_dims(spark, path), rule, database)
+            log = spark.read.parquet(path).filter(F.col("sink_table") == rule["sink_table"])
+            merged = merge_cells(log.withColumn("_order", F.struct("batch_id", order)).drop("batch_id", order), "_order")
+            refresh_dim_table(spark, merged, rule, database)
     return write

@@ -1,4 +1,10 @@
-"""Stateful stream operators: what they keep per key is a few fixed-size values."""
+"""Stateful stream operators: what they keep per key is a few fixed-size values.
+
+They stand before the watermark (no time mode, so no late-row filter): a late row is flagged or
+retracted like any other, and only a window that is closed already drops it. State is kept for
+ever unless `ttl_ms` names the processing time after which an unused value may go; a row that
+comes later than that is treated as the first of its key.
+"""
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
@@ -18,16 +24,15 @@ class FirstOfDay(StatefulProcessor):
     """Flags the earliest row of a key on a day not seen before.
 
     Rows pass through as they come; only the best candidate per day is held back
-    until the end of the batch. A timer forgets a day one day after it ended. Where
-    a candidate column is named, rows without that flag cannot be first.
+    until the end of the batch. Where a candidate column is named, rows without that
+    flag cannot be first.
     """
 
-    def __init__(self, ts, columns, flag, candidate=None):
-        self.ts, self.columns, self.flag, self.candidate = ts, columns, flag, candidate
+    def __init__(self, ts, columns, flag, candidate=None, ttl_ms=None):
+        self.ts, self.columns, self.flag, self.candidate, self.ttl_ms = ts, columns, flag, candidate, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle):
-        self.handle = handle
-        self.days = handle.getMapState("days", "day bigint", "seen boolean")
+        self.days = handle.getMapState("days", "day bigint", "seen boolean", self.ttl_ms)
         self.row = T.Row(*self.columns, self.flag)
 
     def _out(self, row, flag):
@@ -53,15 +58,8 @@ class FirstOfDay(StatefulProcessor):
                 yield self._out(row, 0)
         for day, row in best.items():
             self.days.updateValue((day,), (True,))
-            self.handle.registerTimer((day + 2) * DAY_MS)
             yield self._out(row, 1)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        day = expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 2
-        if self.days.containsKey((day,)):
-            self.days.removeKey((day,))
-        return iter([])
-
     def close(self):
         pass
 
@@ -69,16 +67,17 @@ class FirstOfDay(StatefulProcessor):
 class FixIsNew(StatefulProcessor):
     """Keeps the day on which a visitor's "new" marks stand, set by the first record.
 
-    Once the day is known rows pass straight through. In the batch that shows a
-    visitor for the first time, only rows that claim to be new wait for its end;
-    their number is bounded by the rate limit of the source.
+    Once the day is known rows pass straight through, as dirty rows always do. In the
+    batch that shows a visitor for the first time, rows that claim to be new wait for
+    its end: up to `held_rows` in memory, the others in the state store.
     """
 
-    def __init__(self, columns):
-        self.columns = columns
+    def __init__(self, schema, ttl_ms=None, held_rows=10_000):
+        self.schema, self.columns, self.ttl_ms, self.held_rows = schema, schema.fieldNames(), ttl_ms, held_rows
 
     def init(self, handle: StatefulProcessorHandle):
-        self.base = handle.getValueState("base", "day bigint")
+        self.base = handle.getValueState("base", "day bigint", self.ttl_ms)
+        self.held = handle.getListState("held", self.schema, self.ttl_ms)
         self.row = T.Row(*self.columns)
 
     def _out(self, row, mark):
@@ -91,22 +90,36 @@ class FixIsNew(StatefulProcessor):
         known = self.base.get()
         if known is not None:
             for row in rows:
-                yield self._out(row, self._fixed(row, known[0]) if row["_mark"] == "1" else row["_mark"])
+                new = row["_mark"] == "1" and not row["_dirty"]
+                yield self._out(row, self._fixed(row, known[0]) if new else row["_mark"])
             return
-        first, waiting = None, []
+        first, waiting, spilled = None, [], False
         for row in rows:
+            if row["_dirty"]:
+                yield self._out(row, row["_mark"])
+                continue
             new = row["_mark"] == "1"
             rank = (row["ts"], 0 if new else 1)
             if first is None or rank < first:
                 first = rank
             if new:
                 waiting.append(row)
+                if len(waiting) == self.held_rows:
+                    self.held.appendList([tuple(r) for r in waiting])
+                    waiting, spilled = [], True
             else:
                 yield self._out(row, row["_mark"])
+        if first is None:
+            return
         base = first[0] // DAY_MS - first[1]
         self.base.update((base,))
         for row in waiting:
             yield self._out(row, self._fixed(row, base))
+        if spilled:
+            for values in self.held.get():
+                row = self.row(*values)
+                yield self._out(row, self._fixed(row, base))
+            self.held.clear()
 
     def close(self):
         pass
@@ -119,11 +132,11 @@ class Retract(StatefulProcessor):
     an older row is emitted and cancelled at once.
     """
 
-    def __init__(self, columns, order, amounts, stored):
-        self.columns, self.order, self.amounts, self.stored = columns, order, amounts, stored
+    def __init__(self, columns, order, amounts, stored, ttl_ms=None):
+        self.columns, self.order, self.amounts, self.stored, self.ttl_ms = columns, order, amounts, stored, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle):
-        self.last = handle.getValueState("last", self.stored)
+        self.last = handle.getValueState("last", self.stored, self.ttl_ms)
         self.row = T.Row(*self.columns)
 
     def _negated(self, values):
@@ -149,33 +162,36 @@ class Retract(StatefulProcessor):
         pass
 
 
-def _flag_first(df, keys, ts, flag, candidate=None):
+def _stateful(df, keys, processor, schema, ttl_ms):
+    return df.groupBy(*keys).transformWithState(processor, schema, "Append", "ProcessingTime" if ttl_ms else "None")
+
+
+def _flag_first(df, keys, ts, flag, candidate, ttl_ms):
     schema = T.StructType([*df.schema.fields, T.StructField(flag, T.LongType())])
-    return df.groupBy(*keys).transformWithState(
-        FirstOfDay(ts, df.columns, flag, candidate), schema, "Append", "EventTime", eventTimeColumnName="et")
+    return _stateful(df, keys, FirstOfDay(ts, df.columns, flag, candidate, ttl_ms), schema, ttl_ms)
 
 
-def first_of_day_stream(df, keys, ts, flag, slices=1):
+def first_of_day_stream(df, keys, ts, flag, slices=1, candidate=None, ttl_ms=None):
     if slices == 1:
-        return _flag_first(df, keys, ts, flag)
+        return _flag_first(df, keys, ts, flag, candidate, ttl_ms)
     sliced = df.withColumn("_slice", F.pmod(F.xxhash64(ts), F.lit(slices)))
-    local = _flag_first(sliced, [*keys, "_slice"], ts, "_local")
+    local = _flag_first(sliced, [*keys, "_slice"], ts, "_local", candidate, ttl_ms)
     # Rows that lost within their slice stay spread; the winners meet under one key.
     spread = local.withColumn("_slice", F.when(F.col("_local") == 0, F.col("_slice")))
-    return _flag_first(spread, [*keys, "_slice"], ts, flag, "_local").drop("_slice", "_local")
+    return _flag_first(spread, [*keys, "_slice"], ts, flag, "_local", ttl_ms).drop("_slice", "_local")
 
 
-def fix_is_new_stream(logs):
+def fix_is_new_stream(logs, ttl_ms=None, held_rows=10_000):
     from brookmart.operators.logs import with_is_new
-    flat = logs.withColumn("_visitor", F.col("common")["mid"]).withColumn("_mark", F.col("common")["is_new"])
-    fixed = flat.groupBy("_visitor").transformWithState(
-        FixIsNew(flat.columns), flat.schema, "Append", "None")
-    return (fixed.withColumn("common", with_is_new(F.col("common"), F.col("_mark")))
-            .drop("_visitor", "_mark"))
+    dirty = F.col("_dirty") if "_dirty" in logs.columns else F.lit(False)
+    flat = logs.withColumn("_dirty", dirty).withColumn("_mark", F.col("common")["is_new"])
+    # Dirty rows take part in no visitor's state; they are spread by what they say.
+    own = F.concat(F.lit("\0"), F.pmod(F.xxhash64("value"), F.lit(1024)).cast("string")) if "value" in logs.columns else F.lit("\0")
+    flat = flat.withColumn("_visitor", F.when(F.col("_dirty"), own).otherwise(F.col("common")["mid"]))
+    fixed = _stateful(flat, ["_visitor"], FixIsNew(flat.schema, ttl_ms, held_rows), flat.schema, ttl_ms)
+    return fixed.withColumn("common", with_is_new(F.col("common"), F.col("_mark"))).select(*logs.columns)
 
 
-def retract_stream(df, key, order, amounts):
+def retract_stream(df, key, order, amounts, ttl_ms=None):
     stored = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
-    return df.groupBy(key).transformWithState(
-        Retract(df.columns, order, list(amounts), stored), df.schema, "Append", "EventTime",
-        eventTimeColumnName="et")
+    return _stateful(df, [key], Retract(df.columns, order, list(amounts), stored, ttl_ms), df.schema, ttl_ms)
