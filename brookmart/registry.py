@@ -610,15 +610,6 @@ def _ods_stream(t, *names):
     return topics.read_ods_db(rows.select("value"))
 
 
-#: The test tables' activities and coupons have time 0, decades before their details.
-APART = "25000 days"
-
-
-@query
-def stream_order_detail(spark, t):
-    return drain(spark, trade.order_detail(_ods_stream(t, *ORDER_TABLES), APART), "details")
-
-
 @query
 def stream_order_cancel(spark, t):
     details = topic_sinks.upsert_records(trade.order_detail(V.ods(t, *ORDER_TABLES)), ["id"]).select("value")

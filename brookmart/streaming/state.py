@@ -68,16 +68,15 @@ class FixIsNew(StatefulProcessor):
     """Keeps the day on which a visitor's "new" marks stand, set by the first record.
 
     Once the day is known rows pass straight through, as dirty rows always do. In the
-    batch that shows a visitor for the first time, rows that claim to be new wait for
-    its end: up to `held_rows` in memory, the others in the state store.
+    batch that shows a visitor for the first time, rows that claim to be new wait
+    in memory for its end: limit the source's rate where one visitor may send very many.
     """
 
-    def __init__(self, schema, ttl_ms=None, held_rows=10_000):
-        self.schema, self.columns, self.ttl_ms, self.held_rows = schema, schema.fieldNames(), ttl_ms, held_rows
+    def __init__(self, columns, ttl_ms=None):
+        self.columns, self.ttl_ms = columns, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle):
         self.base = handle.getValueState("base", "day bigint", self.ttl_ms)
-        self.held = handle.getListState("held", self.schema, self.ttl_ms)
         self.row = T.Row(*self.columns)
 
     def _out(self, row, mark):
@@ -93,7 +92,7 @@ class FixIsNew(StatefulProcessor):
                 new = row["_mark"] == "1" and not row["_dirty"]
                 yield self._out(row, self._fixed(row, known[0]) if new else row["_mark"])
             return
-        first, waiting, spilled = None, [], False
+        first, waiting = None, []
         for row in rows:
             if row["_dirty"]:
                 yield self._out(row, row["_mark"])
@@ -104,9 +103,6 @@ class FixIsNew(StatefulProcessor):
                 first = rank
             if new:
                 waiting.append(row)
-                if len(waiting) == self.held_rows:
-                    self.held.appendList([tuple(r) for r in waiting])
-                    waiting, spilled = [], True
             else:
                 yield self._out(row, row["_mark"])
         if first is None:
@@ -115,11 +111,6 @@ class FixIsNew(StatefulProcessor):
         self.base.update((base,))
         for row in waiting:
             yield self._out(row, self._fixed(row, base))
-        if spilled:
-            for values in self.held.get():
-                row = self.row(*values)
-                yield self._out(row, self._fixed(row, base))
-            self.held.clear()
 
     def close(self):
         pass
@@ -181,14 +172,14 @@ def first_of_day_stream(df, keys, ts, flag, slices=1, candidate=None, ttl_ms=Non
     return _flag_first(spread, [*keys, "_slice"], ts, flag, "_local", ttl_ms).drop("_slice", "_local")
 
 
-def fix_is_new_stream(logs, ttl_ms=None, held_rows=10_000):
+def fix_is_new_stream(logs, ttl_ms=None):
     from brookmart.operators.logs import with_is_new
     dirty = F.col("_dirty") if "_dirty" in logs.columns else F.lit(False)
     flat = logs.withColumn("_dirty", dirty).withColumn("_mark", F.col("common")["is_new"])
     # Dirty rows take part in no visitor's state; they are spread by what they say.
     own = F.concat(F.lit("\0"), F.pmod(F.xxhash64("value"), F.lit(1024)).cast("string")) if "value" in logs.columns else F.lit("\0")
     flat = flat.withColumn("_visitor", F.when(F.col("_dirty"), own).otherwise(F.col("common")["mid"]))
-    fixed = _stateful(flat, ["_visitor"], FixIsNew(flat.schema, ttl_ms, held_rows), flat.schema, ttl_ms)
+    fixed = _stateful(flat, ["_visitor"], FixIsNew(flat.columns, ttl_ms), flat.schema, ttl_ms)
     return fixed.withColumn("common", with_is_new(F.col("common"), F.col("_mark"))).select(*logs.columns)
 
 
