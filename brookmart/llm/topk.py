@@ -1,10 +1,11 @@
 """Exact top-k search by inner product, with ball trees.
 
-The rows are dealt into shards. A task holds one shard, builds a ball tree over it (nodes with
-a centre and a radius) and answers blocks of queries: nodes are visited in the order of their
-upper bound <q, centre> + |q| * radius, and a query is done when the bound of the next node is
-below its k-th score. The k-th scores are shared: each block first visits one home shard, and
-carries what it found there to all others as the score to beat.
+The rows are dealt into shards and the queries into blocks. A task holds one shard and one block
+of bounded size, builds a ball tree over the shard (nodes with a centre and a radius) and answers
+the block: nodes are visited in the order of their upper bound <q, centre> + |q| * radius, and a
+query is done when the bound of the next node is below its k-th score. The k-th scores are
+shared: each block first visits one home shard, and carries what it found there to all others as
+the score to beat. A shard is sent once for each block, which is little beside the search itself.
 """
 from __future__ import annotations
 
@@ -12,7 +13,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
@@ -111,7 +112,7 @@ def integer_vectors(rows: DataFrame, id_column: str, vector: str, scale: int) ->
 
 
 def top_k(rows: DataFrame, k: int = 10, every: int = 100, id_column: str = "vec_id", vector: str = "embedding",
-          scale: int = 1024, shard_rows: int = 65536, block: int = 1024) -> DataFrame:
+          scale: int = 1024, shard_rows: int = 65536, block: int = 8192) -> DataFrame:
     """query_id, rank, vec_id and score of the k rows with the highest inner product with each query.
 
     Queries are the rows whose id is divisible by `every`; candidates are all other rows of the
@@ -128,7 +129,6 @@ def top_k(rows: DataFrame, k: int = 10, every: int = 100, id_column: str = "vec_
     queries = fit.where(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"])
     blocks = max(1, -(-total // (every * block)))
     queries = queries.select("vec_id", "v", width, F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int").alias("block"))
-    queries = queries.withColumn("home", F.pmod("block", F.lit(shards)))
     lowest = -(1 << 63)
 
     def probe(cand: pa.Table, asked: pa.Table) -> pa.Table:
@@ -139,19 +139,22 @@ def top_k(rows: DataFrame, k: int = 10, every: int = 100, id_column: str = "vec_
             hits = list(found)
         return pa.table([list(c) for c in zip(*hits)] if hits else [[], [], []], schema=HITS)
 
-    def ask(asked: DataFrame) -> DataFrame:
-        key = ["shard", "width"]
+    at_home_only = F.col("shard") == F.pmod("block", F.lit(shards))
+
+    def ask(asked: DataFrame, visits: Column) -> DataFrame:
+        """Hits of the queries in the pairs of shard and block that `visits` names."""
+        key = ["shard", "block", "width"]
+        sent = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).where(visits)
+        asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(visits)
         asked = asked.toDF(*asked.columns)  # columns of its own: both sides come from one table
-        return candidates.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(
+        return sent.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(
             probe, "query_id long, vec_id long, score long")
 
-    at_home = ask(queries.select("vec_id", "v", "width", F.col("home").alias("shard"), F.lit(lowest).alias("bound")))
+    at_home = ask(queries.withColumn("bound", F.lit(lowest)), at_home_only)
     at_home = materialise(at_home, "home-hits")
     bound = at_home.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bound"))
     others = (queries.join(bound, F.col("vec_id") == F.col("query_id"), "left")
-              .withColumn("bound", F.coalesce("bound", F.lit(lowest)))
-              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard != home")
-              .select("vec_id", "v", "width", "shard", "bound"))
+              .withColumn("bound", F.coalesce("bound", F.lit(lowest))).select(*queries.columns, "bound"))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (at_home.unionByName(ask(others)).withColumn("rank", F.row_number().over(best).cast("int"))
+    return (at_home.unionByName(ask(others, ~at_home_only)).withColumn("rank", F.row_number().over(best).cast("int"))
             .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
