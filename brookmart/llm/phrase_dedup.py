@@ -1,14 +1,16 @@
 """Removing passages that an earlier document has, with Aho-Corasick automata.
 
 1. Recurring passages: every window of 50 words has an anchor phrase of 16 words (see
-   `anchors`). Phrases that occur in one document only cannot be in a repeated window. Where two
-   documents agree in the whole context of a phrase, all its windows are repeated, and only the
-   first document with that context needs a closer look.
-2. Contexts of a phrase that has several are dealt out by phrase. Their phrases are compiled into
-   automata, one for each bounded shard of contexts, which are streamed through them: the
-   automaton confirms word by word that a phrase is there and locates it.
-3. The windows around each located phrase are compared by digest with those of all other
-   contexts, and removed where a document with a smaller id has the same window.
+   `anchors`). Phrases that occur in one document only cannot be in a repeated window. The context
+   of a phrase (all words of its windows) that several documents have is a passage; its words are
+   taken from the first document that has it.
+2. Passages are compiled into automata over word numbers, sharded by the place that they come
+   from, so that the passages of a copied text share a shard. The stretches of every document
+   that may hold passages of a shard are streamed through its automaton, which locates each
+   occurrence word by word. Busy shards are dealt to several tasks.
+3. A phrase with several contexts may have windows in common that no whole context shows. Those
+   contexts are dealt out by phrase, streamed through automata of the phrases, and the windows
+   around each located phrase are compared by digest.
 """
 from __future__ import annotations
 
@@ -26,6 +28,11 @@ from . import repeats
 from .common import materialise, whole_text
 
 
+#: Uses of a run's words.
+PASSAGE, STRETCH, CONTEXT = 1, 2, 3
+WINDOWS = pa.schema([("doc_id", pa.int64()), ("lo", pa.int32()), ("n", pa.int32())])
+
+
 def _codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     words = [t.split() for t in texts]  # bytes: the white space of the contract
     hashes = list(map(xxhash.xxh64_intdigest, [w for ws in words for w in ws]))
@@ -41,25 +48,54 @@ def automaton(phrases: set[str]) -> ahocorasick.Automaton:
     return found
 
 
-def removed_windows(docs: DataFrame, window: int = 50, k: int = 16, shard_rows: int = 2000) -> DataFrame:
-    """doc_id, lo, n: the windows (n from word lo on) that a document with a smaller id has too."""
+def removed_windows(docs: DataFrame, window: int = 50, k: int = 16, shard_rows: int = 2000, shard_words: int = 250_000,
+                    task_words: int = 1_000_000) -> DataFrame:
+    """doc_id, lo, n: the windows (n from word lo on) that a document with a smaller id has too.
+
+    An automaton holds about `shard_words` words of passages, and a task streams about
+    `task_words` words through it.
+    """
     again = repeats.recurring(repeats.scan(docs, _codes, window, k)).where("low < high")
-    copies = again.where("doc_id > first_doc").select("doc_id", "lo", "n")
-    texts = again.where("contexts > 1 and doc_id = first_doc")
-    listed = repeats.by_document(texts, "lo", "n", "at", "h", name="texts")
-    columns = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("at", pa.int32()), ("words", pa.string())])
+    size = F.col("n") + window - 1
+    passage = (F.col("last_doc") > F.col("first_doc")) & (F.col("doc_id") == F.col("first_doc")) & (F.col("lo") == F.col("first_lo"))
+    total = again.where(passage).agg(F.sum(size)).first()[0] or 0
+    again = again.withColumn("shard", F.pmod(F.xxhash64("first_doc", F.shiftright("first_lo", 12)), F.lit(max(1, -(-total // shard_words)))).cast("int"))
+
+    # What a run's words are for: a passage to compile, a stretch to stream, a context to compare.
+    uses = F.filter(F.array(F.when(passage, F.lit(PASSAGE)), F.when(F.col("doc_id") > F.col("first_doc"), F.lit(STRETCH)),
+                            F.when((F.col("contexts") > 1) & (F.col("doc_id") == F.col("first_doc")), F.lit(CONTEXT))), lambda u: u.isNotNull())
+    listed = repeats.by_document(again.select("doc_id", "lo", "n", "at", "h", "shard", F.explode(uses).alias("use")),
+                                 "use", "shard", "lo", "n", "at", "h", name="runs")
+    columns = pa.schema([("use", pa.int32()), ("shard", pa.int32()), ("h", pa.int64()), ("doc_id", pa.int64()), ("lo", pa.int32()),
+                         ("n", pa.int32()), ("at", pa.int32()), ("words", pa.string())])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
             for doc_id, text, runs in zip(*(batch.column(i) for i in range(3))):
-                words = text.as_py().encode().split()
-                out += [(r["h"], doc_id.as_py(), r["lo"], r["n"], r["at"], b" ".join(words[r["lo"]:r["lo"] + r["n"] + window - 1]).decode())
-                        for r in runs.as_py()]
-            yield pa.record_batch([list(c) for c in zip(*out)] if out else [[]] * 6, schema=columns)
-
-    spans = repeats.with_text(docs, listed).select("doc_id", "text", "texts").mapInArrow(
-        extract, "h long, doc_id long, lo int, n int, at int, words string")
+                words, out = text.as_py().encode().split(), []
+                for r in _joined(runs.as_py(), window):
+                    said = b" ".join(words[r["lo"]:r["lo"] + r["n"] + window - 1]).decode()
+                    out.append((r["use"], r["shard"], r["h"], doc_id.as_py(), r["lo"], r["n"], r["at"], said))
+                yield pa.record_batch([list(c) for c in zip(*out)] if out else [[]] * len(columns), schema=columns)
+
+    spans = materialise(repeats.with_text(docs, listed).select("doc_id", "text", "runs").mapInArrow(
+        extract, "use int, shard int, h long, doc_id long, lo int, n int, at int, words string"), "spans")
+
+    # Each part of a shard's stretches meets all passages of the shard.
+    stretches, passages = spans.where(F.col("use") == STRETCH), spans.where(F.col("use") == PASSAGE)
+    parts = materialise(stretches.groupBy("shard").agg(F.ceil(F.sum(size) / task_words).alias("parts")), "parts")
+    part = F.pmod(F.xxhash64("doc_id", "lo"), F.col("parts"))
+    stretches = stretches.join(parts, "shard").select("shard", part.alias("part"), "doc_id", "lo", "words")
+    passages = passages.join(parts, "shard").select(
+        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "doc_id", "lo", "words")
+    passages = passages.toDF(*passages.columns)  # columns of its own: both sides come from one table
+
+    def locate(known: pa.Table, asked: pa.Table) -> pa.Table:
+        found = list(_occurrences(known, asked, window))
+        return pa.table([list(c) for c in zip(*found)] if found else [[]] * 3, schema=WINDOWS)
+
+    located = passages.groupBy("shard", "part").cogroup(stretches.groupBy("shard", "part")).applyInArrow(
+        locate, "doc_id long, lo int, n int")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,13 +104,45 @@ def removed_windows(docs: DataFrame, window: int = 50, k: int = 16, shard_rows:
 
     # Dealt by phrase and document: a phrase's contexts mostly share automata, and a very common
     # phrase is still many tasks' work.
-    dealt = spans.repartition("h", F.pmod("doc_id", F.lit(16)))
+    dealt = spans.where(F.col("use") == CONTEXT).select("h", "doc_id", "lo", "n", "at", "words").repartition("h", F.pmod("doc_id", F.lit(16)))
     windows = materialise(dealt.mapInArrow(stream, "key binary, doc_id long, lo int"), "windows")
     # Grouped by more than the join's key: the join's own exchanges can be split where they are skewed.
     first = windows.groupBy("key", F.substring("key", 1, 8).alias("head")).agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("key", "low")
     later = windows.join(first, "key").where("doc_id > low").select("doc_id", "lo", F.lit(1).alias("n"))
-    return copies.unionByName(later)
+    return located.unionByName(later)
+
+
+def _joined(runs: list, window: int) -> Iterator[dict]:
+    """The runs of a document; stretches for one shard that overlap or touch become one."""
+    last = None
+    for r in sorted(runs, key=lambda r: (r["use"], r["shard"], r["lo"])):
+        if r["use"] != STRETCH:
+            yield r
+        elif last and last["shard"] == r["shard"] and r["lo"] <= last["lo"] + last["n"] + window - 1:
+            last["n"] = max(last["n"], r["lo"] + r["n"] - last["lo"])
+        else:
+            if last:
+                yield last
+            last = dict(r)
+    if last:
+        yield last
+
+
+def _occurrences(passages: pa.Table, stretches: pa.Table, window: int) -> Iterator[tuple]:
+    """(doc_id, lo, n) of every passage in the stretches that comes from a smaller doc_id."""
+    if not len(passages) or not len(stretches):
+        return
+    numbers: dict[str, int] = {}
+    found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for doc_id, said in zip(passages["doc_id"].to_pylist(), passages["words"]):
+        words = said.as_py().split(" ")
+        found.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in words), (doc_id, len(words)))
+    found.make_automaton()
+    for doc_id, lo, said in zip(stretches["doc_id"].to_pylist(), stretches["lo"].to_pylist(), stretches["words"]):
+        for last, (owner, length) in found.iter(tuple(numbers.get(w, 0) for w in said.as_py().split(" "))):
+            if owner < doc_id:
+                yield doc_id, lo + last - length + 1, length - window + 1
 
 
 def _digests(batch: pa.RecordBatch, window: int, k: int) -> pa.RecordBatch:

@@ -53,19 +53,21 @@ def scan(docs: DataFrame, codes: Callable[[list[bytes]], tuple[np.ndarray, np.nd
 def recurring(found: DataFrame) -> DataFrame:
     """The runs whose anchor occurs at least twice, with what is known of anchor and context.
 
-    copies: runs with this context; first_doc: the smallest doc_id of them; contexts: how many
-    different ones the anchor has; low and high: the smallest and largest doc_id of the anchor.
+    copies: runs with this context; first_doc and first_lo: the first of them; last_doc: its largest
+    doc_id; contexts: how many different ones the anchor has; low and high: the smallest and largest
+    doc_id of the anchor.
     Counts come from aggregates and are joined back, so that adaptive execution can split an
     anchor or context that very many documents share.
     """
     found = materialise(found, "runs")
-    per_context = found.groupBy("h", "ctx").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_doc"),
-                                                F.max("doc_id").alias("last_doc"))
+    per_context = found.groupBy("h", "ctx").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "lo")).alias("first"),
+                                                F.max("doc_id").alias("last_doc")).select(
+        "h", "ctx", "copies", F.col("first.doc_id").alias("first_doc"), F.col("first.lo").alias("first_lo"), "last_doc")
     # Grouped by more than is joined on: both sides of the joins then have exchanges of their own.
     per_anchor = per_context.groupBy("h", F.shiftright("h", 32).alias("half")).agg(
         F.sum("copies").alias("times"), F.count(F.lit(1)).alias("contexts"), F.min("first_doc").alias("low"),
         F.max("last_doc").alias("high")).where("times > 1").drop("half", "times")
-    known = materialise(per_context.drop("last_doc").join(per_anchor, "h"), "contexts")
+    known = materialise(per_context.join(per_anchor, "h"), "contexts")
     return materialise(found.join(known, ["h", "ctx"]), "recurring")
 
 

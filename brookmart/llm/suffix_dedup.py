@@ -114,7 +114,7 @@ def removed_windows(docs: DataFrame, window: int = 400, k: int = 128, shard_byte
     copies = again.where("copies > 1").select("doc_id", "lo", "n")
 
     # One text for each context of the anchors that have several.
-    texts = again.where("contexts > 1 and doc_id = first_doc").dropDuplicates(["h", "ctx"])
+    texts = again.where("contexts > 1 and doc_id = first_doc and lo = first_lo")
     texts = materialise(texts.select("doc_id", "lo", "n", "h", "copies"), "texts")
     sizes = texts.groupBy("h").agg(F.count(F.lit(1)).alias("members"))
     total = texts.agg(F.sum(F.col("n") + window)).first()[0] or 0
