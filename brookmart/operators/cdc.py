@@ -27,7 +27,12 @@ def branch(ods, table, types, columns, keep=("ts",), where=None):
         condition = condition & where
     keep = [c for c in (*keep, "et") if c in ods.columns]
     rows = gate(ods, condition)
-    return rows.select(*[F.col("data")[key].alias(name) for name, key in columns.items()], *keep)
+    value = {name: F.col("data")[key] for name, key in columns.items()}
+    if ods.isStreaming and "et" in keep:
+        # Joins demand keys that are not null. Without the event time in them these filters move
+        # below the watermark, where rows of other tables could no longer advance it.
+        value = {name: F.when(F.col("et").isNotNull(), v) for name, v in value.items()}
+    return rows.select(*[v.alias(name) for name, v in value.items()], *keep)
 
 
 def changed_to(column, new, old=None):
