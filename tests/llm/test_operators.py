@@ -281,7 +281,7 @@ def test_repeated_windows():
         assert [f.tolist() for f in suffix_dedup.repeated_windows(texts, 6)] == want
 
 
-@pytest.mark.parametrize("options", [{}, {"k": 40, "shard_rows": 3}])
+@pytest.mark.parametrize("options", [{}, {"k": 40, "shard_rows": 3}, {"shard_words": 200, "task_words": 300}])
 def test_phrase_dedup(documents, no_documents, options):
     columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     assert got(phrase_dedup.phrase_dedup(documents, **options), *columns) == brute.phrases(brute.rows())
