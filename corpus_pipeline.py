@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookmart.llm import exact_dedup, mixing, packing, quality, simhash
+from brookmart.llm import exact_dedup, mixing, near_copies, packing, quality
 from brookmart.llm.common import materialise, table
 
 
@@ -24,7 +24,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the one with the smallest doc_id."""
-    return simhash.drop_near_copies(docs)
+    return near_copies.drop_near_copies(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
