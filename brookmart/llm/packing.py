@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -36,8 +38,13 @@ LOCAL_BITS = 32
 MERGED = 1 << 62
 
 
+#: White space of this many characters and more is left to `tokenizers`: tiktoken's pattern
+#: overflows its stack on very long runs.
+LONG_SPACE = 100_000
+
+
 def byte_bpe(path: str | None = None) -> Callable[[str], list[int]]:
-    """Encoder of the 50k byte-level vocabulary, without special tokens.
+    """Encoder of the 50k byte-level vocabulary that takes added tokens for plain text.
 
     The rank file of the same vocabulary is read, since this encoder is some four times faster
     than that of the JSON file; `tests/llm` compare the ids of both.
@@ -49,6 +56,45 @@ def byte_bpe(path: str | None = None) -> Callable[[str], list[int]]:
     return encoding.encode_ordinary
 
 
+def contract_bpe(path: str | None = None) -> Callable[[str], list[int]]:
+    """Encoder with the ids that `tokenizers` gives for byte_bpe_50k.json, added tokens included.
+
+    A text is cut at the added tokens of the file, which are one id each; what is between is
+    encoded by `byte_bpe`, and by `tokenizers` itself where white space is very long. A file whose
+    added tokens take in their surroundings is left to `tokenizers` as a whole.
+    """
+    from tokenizers import Tokenizer
+    path = path or public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as lines:
+        added = json.load(lines)["added_tokens"]
+
+    def whole(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+        return whole
+    plain = byte_bpe()
+    ids = {t["content"]: t["id"] for t in added}
+    cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(ids, key=len, reverse=True)) + ")") if ids else None
+    long_space = re.compile(rf"(?<!\s)\s{{{LONG_SPACE},}}")
+
+    def encode(text: str) -> list[int]:
+        if len(text) >= LONG_SPACE and long_space.search(text):
+            return whole(text)
+        if cut is None or not cut.search(text):
+            return plain(text)
+        out: list[int] = []
+        for piece in cut.split(text):
+            if piece in ids:
+                out.append(ids[piece])
+            elif piece:
+                out += plain(piece)
+        return out
+
+    return encode
+
+
 class Packer:
     """The open windows of one partition."""
 

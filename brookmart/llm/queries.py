@@ -27,7 +27,7 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), keep_ids=False).select(*packing.COLUMNS)
+    return packing.pack(table(spark, folder, "documents"), packing.contract_bpe, keep_ids=False).select(*packing.COLUMNS)
 
 
 def op6_phrase_dedup(spark: SparkSession, folder: str) -> DataFrame:

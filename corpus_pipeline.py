@@ -34,7 +34,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the training sequences."""
-    return packing.pack(docs, keep_ids=False).select(*packing.COLUMNS)
+    return packing.pack(docs, packing.contract_bpe, keep_ids=False).select(*packing.COLUMNS)
 
 
 STAGES = [("quality", classify), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies),
