@@ -25,10 +25,10 @@ def seeded(*parts) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("/", *parts)), 1, 8), 16, 10).cast("long")
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source and size (words; null text: 0) of every row."""
+def sizes(docs: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, source, size (words; null text: 0) and the columns `carried` of every row."""
     words = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), words.alias("size"))
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), words.alias("size"), *carried)
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, share=1.5, ceiling=2) -> DataFrame:
@@ -103,12 +103,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=1.5, ceiling=2, seed=42, shard_r
     The block size is the smallest target of a source with words, divided by
     `blocks_per_source`, at least 1 and at most `max_block`.
     """
-    sized = materialise(sizes(docs), "sizes")
-    return _mix(sized, materialise(targets(sized, weights, share, ceiling), "targets"),
-                ceiling, seed, shard_rows, blocks_per_source, max_block)
+    return _mix(sizes(docs), weights, share, ceiling, seed, shard_rows, blocks_per_source, max_block)
 
 
-def _mix(sized, per_source, ceiling, seed, shard_rows, blocks_per_source, max_block):
+def _mix(sized, weights=WEIGHTS, share=1.5, ceiling=2, seed=42, shard_rows=5000, blocks_per_source=200, max_block=512, carried=()):
+    """`mix` of rows with their sizes; the columns `carried` stay, and tell rows of one doc_id and size apart."""
+    sized = materialise(sized, "sizes")
+    per_source = materialise(targets(sized, weights, share, ceiling), "targets")
     whole = Window.partitionBy()
     block = F.greatest(F.lit(1), F.least(F.lit(max_block), F.floor(
         F.min(F.when(F.col("target") > 0, F.col("target"))).over(whole) / blocks_per_source))).cast("long")
@@ -123,7 +124,7 @@ def _mix(sized, per_source, ceiling, seed, shard_rows, blocks_per_source, max_bl
     key = F.coalesce(F.col("d.doc_id").cast("string"), F.lit("null"))
     # The sources' table is read from a file: it is broadcast only if its size allows.
     rows = sized.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")), "left").select(
-        "d.doc_id", "d.source", "d.size", "s.source_size", "s.target", "s.block", "s.source_quota",
+        "d.doc_id", "d.source", "d.size", *[f"d.{c}" for c in carried], "s.source_size", "s.target", "s.block", "s.source_quota",
         F.pmod(seeded(F.lit(seed), F.lit("shard"), key), F.col("s.shards")).alias("shard"),
         seeded(F.lit(seed), F.lit("place"), key).alias("place"))
     per_shard = rows.groupBy("source", "shard").agg(
@@ -135,9 +136,9 @@ def _mix(sized, per_source, ceiling, seed, shard_rows, blocks_per_source, max_bl
     placed = rows.alias("d").join(quotas.alias("q"), F.col("d.source").eqNullSafe(F.col("q.source"))
                                   & (F.col("d.shard") == F.col("q.shard"))).select("d.*", "q.shard_size", "q.shard_quota")
     shard = ["source", "shard"]
-    in_place = Window.partitionBy(*shard).orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    in_place = Window.partitionBy(*shard).orderBy("place", "doc_id", "size", *carried).rowsBetween(Window.unboundedPreceding, 0)
     placed = (placed.withColumn("begin", F.sum("size").over(in_place) - F.col("size"))
-              .withColumn("nth", F.row_number().over(Window.partitionBy(*shard).orderBy("place", "doc_id", "size")))
+              .withColumn("nth", F.row_number().over(Window.partitionBy(*shard).orderBy("place", "doc_id", "size", *carried)))
               .withColumn("rounds", F.expr("if(shard_size > 0, shard_quota div shard_size, 0L)"))
               .withColumn("last", F.col("shard_quota") - F.col("rounds") * F.col("shard_size")))
     # The pieces of a row lie between the borders of blocks; a row without words is one empty piece.
@@ -152,26 +153,31 @@ def _mix(sized, per_source, ceiling, seed, shard_rows, blocks_per_source, max_bl
     span = F.when(F.col("part") > 0, F.struct((F.col("from") - F.col("begin")).alias("from"),
                                               (F.col("from") - F.col("begin") + F.col("part")).alias("to")))
     return pieces.groupBy(*shard, "nth").agg(
-        *[F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target")],
+        *[F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target", *carried)],
         (F.first("rounds") * F.first("size") + F.sum("part")).alias("taken"),
         F.array_sort(F.collect_list(span)).alias("spans")).select(
-            "doc_id", "source", "size", "source_size", "target", "taken", "spans")
+            "doc_id", "source", "size", "source_size", "target", "taken", "spans", *carried)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents, with the columns of `docs`.
 
     A row is repeated as often as it is taken whole; what is taken of one more copy is one more
-    row whose text holds the words of `spans`, a space between words. Rows not taken go. Doc_ids
-    are taken as unique, as everywhere in the pipeline; `n_chars` follows the text.
+    row whose text holds the words of `spans`, a space between words. Rows not taken go. Each row
+    is mixed by itself, also where its doc_id is null or that of other rows; `n_chars` follows the
+    text.
     """
-    taken = mix(docs, **options).where("taken > 0").select("doc_id", "size", "taken", "spans")
-    rows = docs.join(taken.withColumnsRenamed({"size": "_size", "taken": "_taken", "spans": "_spans"}), "doc_id")
-    copies = rows.select("*", F.explode(F.expr(
-        "sequence(if(_taken >= _size, 1, 0), if(_taken >= _size, _taken div _size, 0))")).alias("_copy")).where("_copy > 0")
-    words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
-    cut = rows.where("_taken % _size > 0").withColumn("_words", words).withColumn("text", F.array_join(F.flatten(
-        F.expr("transform(_spans, s -> slice(_words, int(s.from + 1), int(s.to - s.from)))")), " "))
+    # The whole row in one column, so that no name of its columns is in the way; written with its
+    # key, so that both reads of it see the same keys.
+    keyed = materialise(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")), "keyed")
+    sized = sizes(keyed.select("row", "doc.doc_id", "doc.source", "doc.text"), "row")
+    taken = _mix(sized, carried=("row",), **options).where("taken > 0").select("row", "size", "taken", "spans")
+    rows = keyed.join(taken, "row")
+    copies = rows.select("doc", F.explode(F.expr(
+        "sequence(if(taken >= size, 1, 0), if(taken >= size, taken div size, 0))")).alias("copy")).where("copy > 0")
+    cut = rows.where("taken % size > 0").withColumn("words", F.regexp_extract_all(F.col("doc.text"), F.lit(WORD), F.lit(0)))
+    text = F.array_join(F.flatten(F.expr("transform(spans, s -> slice(words, int(s.from + 1), int(s.to - s.from)))")), " ")
+    cut = cut.withColumn("doc", F.col("doc").withField("text", text))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return copies.select(*docs.columns).unionByName(cut.select(*docs.columns))
+        cut = cut.withColumn("doc", F.col("doc").withField("n_chars", F.length("doc.text").cast(docs.schema["n_chars"].dataType)))
+    return copies.select("doc.*").unionByName(cut.select("doc.*"))
