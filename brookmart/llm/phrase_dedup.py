@@ -30,7 +30,7 @@ from .common import materialise, whole_text
 
 #: Uses of a run's words.
 PASSAGE, STRETCH, CONTEXT = 1, 2, 3
-WINDOWS = pa.schema([("doc_id", pa.int64()), ("lo", pa.int32()), ("n", pa.int32())])
+WINDOWS = pa.schema([("row", pa.int64()), ("lo", pa.int32()), ("n", pa.int32())])
 
 
 def _codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -50,44 +50,46 @@ def automaton(phrases: set[str]) -> ahocorasick.Automaton:
 
 def removed_windows(docs: DataFrame, window: int = 50, k: int = 16, shard_rows: int = 2000, shard_words: int = 250_000,
                     task_words: int = 1_000_000) -> DataFrame:
-    """doc_id, lo, n: the windows (n from word lo on) that a document with a smaller id has too.
+    """row, lo, n: the windows (n from word lo on) that a document with a smaller place has too.
+
+    `docs` has row, place and text.
 
     An automaton holds about `shard_words` words of passages, and a task streams about
     `task_words` words through it.
     """
     again = repeats.recurring(repeats.scan(docs, _codes, window, k)).where("low < high")
     size = F.col("n") + window - 1
-    passage = (F.col("last_doc") > F.col("first_doc")) & (F.col("doc_id") == F.col("first_doc")) & (F.col("lo") == F.col("first_lo"))
+    passage = (F.col("last_place") > F.col("first_place")) & (F.col("row") == F.col("first_row")) & (F.col("lo") == F.col("first_lo"))
     total = again.where(passage).agg(F.sum(size)).first()[0] or 0
-    again = again.withColumn("shard", F.pmod(F.xxhash64("first_doc", F.shiftright("first_lo", 12)), F.lit(max(1, -(-total // shard_words)))).cast("int"))
+    again = again.withColumn("shard", F.pmod(F.xxhash64("first_row", F.shiftright("first_lo", 12)), F.lit(max(1, -(-total // shard_words)))).cast("int"))
 
     # What a run's words are for: a passage to compile, a stretch to stream, a context to compare.
-    uses = F.filter(F.array(F.when(passage, F.lit(PASSAGE)), F.when(F.col("doc_id") > F.col("first_doc"), F.lit(STRETCH)),
-                            F.when((F.col("contexts") > 1) & (F.col("doc_id") == F.col("first_doc")), F.lit(CONTEXT))), lambda u: u.isNotNull())
-    listed = repeats.by_document(again.select("doc_id", "lo", "n", "at", "h", "shard", F.explode(uses).alias("use")),
+    uses = F.filter(F.array(F.when(passage, F.lit(PASSAGE)), F.when(F.col("place") > F.col("first_place"), F.lit(STRETCH)),
+                            F.when((F.col("contexts") > 1) & (F.col("place") == F.col("first_place")), F.lit(CONTEXT))), lambda u: u.isNotNull())
+    listed = repeats.by_document(again.select("row", "lo", "n", "at", "h", "shard", F.explode(uses).alias("use")),
                                  "use", "shard", "lo", "n", "at", "h", name="runs")
-    columns = pa.schema([("use", pa.int32()), ("shard", pa.int32()), ("h", pa.int64()), ("doc_id", pa.int64()), ("lo", pa.int32()),
+    columns = pa.schema([("use", pa.int32()), ("shard", pa.int32()), ("h", pa.int64()), ("row", pa.int64()), ("place", pa.int64()), ("lo", pa.int32()),
                          ("n", pa.int32()), ("at", pa.int32()), ("words", pa.string())])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, text, runs in zip(*(batch.column(i) for i in range(3))):
+            for key, place, text, runs in zip(*batch.columns):
                 words, out = text.as_py().encode().split(), []
                 for r in _joined(runs.as_py(), window):
                     said = b" ".join(words[r["lo"]:r["lo"] + r["n"] + window - 1]).decode()
-                    out.append((r["use"], r["shard"], r["h"], doc_id.as_py(), r["lo"], r["n"], r["at"], said))
+                    out.append((r["use"], r["shard"], r["h"], key.as_py(), place.as_py(), r["lo"], r["n"], r["at"], said))
                 yield pa.record_batch([list(c) for c in zip(*out)] if out else [[]] * len(columns), schema=columns)
 
-    spans = materialise(repeats.with_text(docs, listed).select("doc_id", "text", "runs").mapInArrow(
-        extract, "use int, shard int, h long, doc_id long, lo int, n int, at int, words string"), "spans")
+    spans = materialise(repeats.with_text(docs, listed).select("row", "place", "text", "runs").mapInArrow(
+        extract, "use int, shard int, h long, row long, place long, lo int, n int, at int, words string"), "spans")
 
     # Each part of a shard's stretches meets all passages of the shard.
     stretches, passages = spans.where(F.col("use") == STRETCH), spans.where(F.col("use") == PASSAGE)
     parts = materialise(stretches.groupBy("shard").agg(F.ceil(F.sum(size) / task_words).alias("parts")), "parts")
-    part = F.pmod(F.xxhash64("doc_id", "lo"), F.col("parts"))
-    stretches = stretches.join(parts, "shard").select("shard", part.alias("part"), "doc_id", "lo", "words")
+    part = F.pmod(F.xxhash64("row", "lo"), F.col("parts"))
+    stretches = stretches.join(parts, "shard").select("shard", part.alias("part"), "row", "place", "lo", "words")
     passages = passages.join(parts, "shard").select(
-        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "doc_id", "lo", "words")
+        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "place", "lo", "words")
     passages = passages.toDF(*passages.columns)  # columns of its own: both sides come from one table
 
     def locate(known: pa.Table, asked: pa.Table) -> pa.Table:
@@ -95,7 +97,7 @@ def removed_windows(docs: DataFrame, window: int = 50, k: int = 16, shard_rows:
         return pa.table([list(c) for c in zip(*found)] if found else [[]] * 3, schema=WINDOWS)
 
     located = passages.groupBy("shard", "part").cogroup(stretches.groupBy("shard", "part")).applyInArrow(
-        locate, "doc_id long, lo int, n int")
+        locate, "row long, lo int, n int")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,12 +106,12 @@ def removed_windows(docs: DataFrame, window: int = 50, k: int = 16, shard_rows:
 
     # Dealt by phrase and document: a phrase's contexts mostly share automata, and a very common
     # phrase is still many tasks' work.
-    dealt = spans.where(F.col("use") == CONTEXT).select("h", "doc_id", "lo", "n", "at", "words").repartition("h", F.pmod("doc_id", F.lit(16)))
-    windows = materialise(dealt.mapInArrow(stream, "key binary, doc_id long, lo int"), "windows")
+    dealt = spans.where(F.col("use") == CONTEXT).select("h", "row", "place", "lo", "n", "at", "words").repartition("h", F.pmod("row", F.lit(16)))
+    windows = materialise(dealt.mapInArrow(stream, "key binary, row long, place long, lo int"), "windows")
     # Grouped by more than the join's key: the join's own exchanges can be split where they are skewed.
     first = windows.groupBy("key", F.substring("key", 1, 8).alias("head")).agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("key", "low")
-    later = windows.join(first, "key").where("doc_id > low").select("doc_id", "lo", F.lit(1).alias("n"))
+        F.min("place").alias("low"), F.max("place").alias("high")).where("low < high").select("key", "low")
+    later = windows.join(first, "key").where("place > low").select("row", "lo", F.lit(1).alias("n"))
     return located.unionByName(later)
 
 
@@ -130,19 +132,19 @@ def _joined(runs: list, window: int) -> Iterator[dict]:
 
 
 def _occurrences(passages: pa.Table, stretches: pa.Table, window: int) -> Iterator[tuple]:
-    """(doc_id, lo, n) of every passage in the stretches that comes from a smaller doc_id."""
+    """(row, lo, n) of every passage in the stretches that comes from a smaller place."""
     if not len(passages) or not len(stretches):
         return
     numbers: dict[str, int] = {}
     found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for doc_id, said in zip(passages["doc_id"].to_pylist(), passages["words"]):
+    for place, said in zip(passages["place"].to_pylist(), passages["words"]):
         words = said.as_py().split(" ")
-        found.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in words), (doc_id, len(words)))
+        found.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in words), (place, len(words)))
     found.make_automaton()
-    for doc_id, lo, said in zip(stretches["doc_id"].to_pylist(), stretches["lo"].to_pylist(), stretches["words"]):
+    for row, place, lo, said in zip(stretches["row"].to_pylist(), stretches["place"].to_pylist(), stretches["lo"].to_pylist(), stretches["words"]):
         for last, (owner, length) in found.iter(tuple(numbers.get(w, 0) for w in said.as_py().split(" "))):
-            if owner < doc_id:
-                yield doc_id, lo + last - length + 1, length - window + 1
+            if owner < place:
+                yield row, lo + last - length + 1, length - window + 1
 
 
 def _digests(batch: pa.RecordBatch, window: int, k: int) -> pa.RecordBatch:
@@ -152,7 +154,7 @@ def _digests(batch: pa.RecordBatch, window: int, k: int) -> pa.RecordBatch:
     spaces = [[i for i, c in enumerate(line) if c == 32] for line in lines]
     own = [line[s[r["at"]]:s[r["at"] + k] + 1].decode() for r, line, s in zip(rows, lines, spaces)]
     shard = automaton({phrase.strip(" ") for phrase in own})
-    keys, ids, los = [], [], []
+    keys, ids, places, los = [], [], [], []
     for r, line, s, phrase in zip(rows, lines, spaces, own):
         text = f" {r['words']} "
         wide = len(text) != len(line)  # places in characters are not places in bytes
@@ -162,9 +164,10 @@ def _digests(batch: pa.RecordBatch, window: int, k: int) -> pa.RecordBatch:
         for w in range(r["n"]):
             if any(w <= a <= w + window - k for a in at):
                 keys.append(hashlib.blake2b(line[s[w]:s[w + window]], digest_size=16).digest())
-                ids.append(r["doc_id"])
+                ids.append(r["row"])
+                places.append(r["place"])
                 los.append(r["lo"] + w)
-    return pa.record_batch([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(los, pa.int32())], names=["key", "doc_id", "lo"])
+    return pa.record_batch([pa.array(keys, pa.binary()), pa.array(ids, pa.int64()), pa.array(places, pa.int64()), pa.array(los, pa.int32())], names=["key", "row", "place", "lo"])
 
 
 def phrase_dedup(docs: DataFrame, window: int = 50, **options) -> DataFrame:
@@ -172,11 +175,13 @@ def phrase_dedup(docs: DataFrame, window: int = 50, **options) -> DataFrame:
 
     Words are runs of anything but ASCII white space; a null text has none. A word is removed if
     a window of `window` words that covers it also starts in a document with a smaller doc_id. The
-    digest is that of the kept words with a space between them. Doc_ids are taken as unique and
-    not null. Other columns are ignored; an empty table gives no rows.
+    digest is that of the kept words with a space between them. Rows with one doc_id are documents
+    of their own, none smaller than the other; a null doc_id counts as the largest long. Other
+    columns are ignored; an empty table gives no rows.
     """
-    docs = whole_text(docs).select(F.col("doc_id").cast("long"), "text")
-    removed = materialise(removed_windows(docs, window, **options), "removed")
+    docs = repeats.with_row(whole_text(docs).select(F.col("doc_id").cast("long"), "text"))
+    placed = docs.select("row", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("place"), "text")
+    removed = materialise(removed_windows(placed, window, **options), "removed")
 
     def row(doc_id, data, spans):
         words = data.split()

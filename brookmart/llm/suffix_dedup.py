@@ -25,7 +25,7 @@ from . import anchors, repeats
 from .common import materialise, whole_text
 
 _BYTES = anchors.mix(np.arange(1, 257, dtype=np.uint64))
-SPANS = "doc_id long, lo int, copies long, data binary"
+SPANS = "row long, lo int, copies long, data binary"
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -105,17 +105,17 @@ def _stretches(flags: np.ndarray) -> list[tuple[int, int]]:
 
 
 def removed_windows(docs: DataFrame, window: int = 400, k: int = 128, shard_bytes: int = 2 << 20, group_rows: int = 2000) -> DataFrame:
-    """doc_id, lo, n: the windows (n from byte lo on) that occur more than once in `docs`."""
+    """row, lo, n: the windows (n from byte lo on) that occur more than once in `docs`."""
 
     def codes(texts):
         return _BYTES[np.frombuffer(b"".join(texts), dtype=np.uint8)], np.cumsum([len(t) for t in texts])
 
     again = repeats.recurring(repeats.scan(docs, codes, window, k))
-    copies = again.where("copies > 1").select("doc_id", "lo", "n")
+    copies = again.where("copies > 1").select("row", "lo", "n")
 
     # One text for each context of the anchors that have several.
-    texts = again.where("contexts > 1 and doc_id = first_doc and lo = first_lo")
-    texts = materialise(texts.select("doc_id", "lo", "n", "h", "copies"), "texts")
+    texts = again.where("contexts > 1 and row = first_row and lo = first_lo")
+    texts = materialise(texts.select("row", "lo", "n", "h", "copies"), "texts")
     sizes = texts.groupBy("h").agg(F.count(F.lit(1)).alias("members"))
     total = texts.agg(F.sum(F.col("n") + window)).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
@@ -124,26 +124,26 @@ def removed_windows(docs: DataFrame, window: int = 400, k: int = 128, shard_byte
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, text, runs in zip(*(batch.column(i) for i in range(3))):
+            for key, text, runs in zip(*(batch.column(i) for i in range(3))):
                 data = text.as_py().encode()
-                out += [(r["h"], doc_id.as_py(), r["lo"], r["copies"], data[r["lo"]:r["lo"] + r["n"] + window - 1]) for r in runs.as_py()]
+                out += [(r["h"], key.as_py(), r["lo"], r["copies"], data[r["lo"]:r["lo"] + r["n"] + window - 1]) for r in runs.as_py()]
             yield pa.record_batch([list(c) for c in zip(*out)] if out else [[]] * 5, schema=pa.schema(
-                [("h", pa.int64()), ("doc_id", pa.int64()), ("lo", pa.int32()), ("copies", pa.int64()), ("data", pa.binary())]))
+                [("h", pa.int64()), ("row", pa.int64()), ("lo", pa.int32()), ("copies", pa.int64()), ("data", pa.binary())]))
 
-    spans = repeats.with_text(docs, listed).select("doc_id", "text", "texts").mapInArrow(extract, "h long, " + SPANS)
+    spans = repeats.with_text(docs, listed).select("row", "text", "texts").mapInArrow(extract, "h long, " + SPANS)
     spans = spans.join(sizes.where(F.col("members") > group_rows), "h", "left")
     spans = materialise(spans.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))), "spans")
 
     def sort_shard(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         out = []
-        for row, flags in zip(rows, repeated_windows([r["data"] for r in rows], window)):
-            if row["copies"] == 1:
-                out += [(row["doc_id"], row["lo"] + a, n) for a, n in _stretches(flags)]
+        for r, flags in zip(rows, repeated_windows([r["data"] for r in rows], window)):
+            if r["copies"] == 1:
+                out += [(r["row"], r["lo"] + a, n) for a, n in _stretches(flags)]
         return pa.table([list(c) for c in zip(*out)] if out else [[]] * 3, schema=pa.schema(
-            [("doc_id", pa.int64()), ("lo", pa.int32()), ("n", pa.int32())]))
+            [("row", pa.int64()), ("lo", pa.int32()), ("n", pa.int32())]))
 
-    sorted_out = spans.where("members is null").groupBy("shard").applyInArrow(sort_shard, "doc_id long, lo int, n int")
+    sorted_out = spans.where("members is null").groupBy("shard").applyInArrow(sort_shard, "row long, lo int, n int")
     return copies.unionByName(sorted_out).unionByName(_by_digest(spans.where("members is not null"), window))
 
 
@@ -152,27 +152,27 @@ def _by_digest(spans: DataFrame, window: int) -> DataFrame:
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, lo, copies, data in zip(*(c.to_pylist() for c in batch.columns)):
-                keys = [hashlib.blake2b(data[i:i + window], digest_size=16).digest() for i in range(len(data) - window + 1)]
-                yield pa.record_batch([pa.array(keys, pa.binary()), pa.array([doc_id] * len(keys), pa.int64()),
-                                       pa.array(range(lo, lo + len(keys)), pa.int32()), pa.array([copies] * len(keys), pa.int64())],
-                                      names=["key", "doc_id", "lo", "copies"])
+            for key, lo, copies, data in zip(*(c.to_pylist() for c in batch.columns)):
+                digest = [hashlib.blake2b(data[i:i + window], digest_size=16).digest() for i in range(len(data) - window + 1)]
+                yield pa.record_batch([pa.array(digest, pa.binary()), pa.array([key] * len(digest), pa.int64()),
+                                       pa.array(range(lo, lo + len(digest)), pa.int32()), pa.array([copies] * len(digest), pa.int64())],
+                                      names=["key", "row", "lo", "copies"])
 
-    windows = materialise(spans.select("doc_id", "lo", "copies", "data").mapInArrow(digests, "key binary, doc_id long, lo int, copies long"), "digests")
+    windows = materialise(spans.select("row", "lo", "copies", "data").mapInArrow(digests, "key binary, row long, lo int, copies long"), "digests")
     # Grouped by more than the join's key: the join's own exchanges can be split where they are skewed.
     again = windows.groupBy("key", F.substring("key", 1, 8).alias("head")).agg(F.sum("copies").alias("times")).where("times > 1").select("key")
-    return windows.where("copies = 1").join(again, "key").select("doc_id", "lo", F.lit(1).alias("n"))
+    return windows.where("copies = 1").join(again, "key").select("row", "lo", F.lit(1).alias("n"))
 
 
 def suffix_dedup(docs: DataFrame, window: int = 400, **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of `docs` (doc_id, text).
 
     Texts are bytes of UTF-8; a null text is empty. A byte is removed if a string of `window` bytes
-    that covers it also starts anywhere else, in any text of the table. Doc_ids are taken as
-    unique and not null. Other columns are ignored; an empty table gives no rows.
+    that covers it also starts anywhere else, in any text of the table. Rows with a null doc_id or
+    one doc_id are texts of their own. Other columns are ignored; an empty table gives no rows.
     """
-    docs = whole_text(docs).select(F.col("doc_id").cast("long"), "text")
-    removed = materialise(removed_windows(docs, window, **options), "removed")
+    docs = repeats.with_row(whole_text(docs).select(F.col("doc_id").cast("long"), "text"))
+    removed = materialise(removed_windows(docs.select("row", "text"), window, **options), "removed")
 
     def row(doc_id, data, spans):
         if not spans:
