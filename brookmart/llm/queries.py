@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, exact_dedup, mixing, packing, phrase_dedup, quality, sharding, simhash, suffix_dedup, topk
+from . import alignment, chat, exact_dedup, hard_negatives, mixing, near_vectors, packing, phrase_dedup, quality, sharding, simhash, suffix_dedup, topk
 from .common import table
 from .sql import SQL  # noqa: F401
 
@@ -67,9 +67,19 @@ def op10_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))
 
 
+def op11_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(table(spark, folder, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved))
+
+
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_simhash, op3_suffix_dedup, op4_quality, op5_packing, op6_phrase_dedup, op7_sharding, op8_chat,
-                                   op9_mixing, op10_topk, op12_alignment)}
+                                   op9_mixing, op10_topk, op11_near_vectors, op12_alignment, op13_hard_negatives)}

@@ -102,13 +102,13 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def integer_vectors(rows: DataFrame, id_column: str, vector: str, scale: int) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of every component; rows with a null vector or id, or a
+def integer_vectors(rows: DataFrame, id_column: str, vector: str, scale: int, *more: str) -> DataFrame:
+    """(vec_id, v, more columns): floor(scale * x) of every component; rows with a null vector or id, or a
     component that is null or not finite, are left out."""
-    whole = rows.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("x"))
+    whole = rows.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("x"), *more)
     fit = whole.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.forall(
         "x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))))
-    return fit.select("vec_id", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
+    return fit.select("vec_id", F.transform("x", lambda c: F.floor(c * scale)).alias("v"), *more)
 
 
 def top_k(rows: DataFrame, k: int = 10, every: int = 100, id_column: str = "vec_id", vector: str = "embedding",
