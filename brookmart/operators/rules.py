@@ -73,18 +73,34 @@ def merge_cells(changes, order="seq"):
     changes never collects in one task; what is gathered per row is one entry per
     column.
     """
+    ordered = changes.withColumn("_at", F.struct(order))
+    return rows_of_cells(cells(ordered, "_at"), "_at")
+
+
+def cells(changes, *order):
+    """The cells that row changes set, and a mark for each delete (without a column name)."""
     deleted = F.col("type") == "delete"
-    cells = changes.select(
-        "sink_table", "row_key", F.col(order).alias("_seq"), deleted.alias("_deleted"),
-        F.explode_outer(F.when(~deleted, F.map_filter("data", lambda _, v: v.isNotNull()))))
-    newest = cells.groupBy("sink_table", "row_key", F.col("key").alias("column_name")).agg(
-        F.max(F.when(~F.col("_deleted"), F.struct("_seq", "value"))).alias("_cell"),
-        F.max(F.when(F.col("_deleted"), F.col("_seq"))).alias("_gone"))
+    flat = changes.select("sink_table", "row_key", *order, deleted.alias("deleted"), F.explode_outer(
+        F.when(~deleted, F.map_filter("data", lambda _, v: v.isNotNull()))).alias("column_name", "value"))
+    return flat.filter(F.col("deleted") | F.col("column_name").isNotNull())
+
+
+def newest_cells(flat, *order):
+    """The newest value of every cell and the newest delete of every row; nothing else decides a merged row."""
+    keys = ["sink_table", "row_key", "column_name", "deleted"]
+    newest = flat.groupBy(*keys).agg(F.max(F.struct(*order, "value")).alias("_newest"))
+    return newest.select(*keys, "_newest.*").select(*flat.columns)
+
+
+def rows_of_cells(flat, *order):
+    """Current dimension rows of cells (see `merge_cells`): sink_table, row_key and data."""
+    newest = flat.groupBy("sink_table", "row_key", "column_name").agg(
+        F.max(F.when(~F.col("deleted"), F.struct(F.struct(*order).alias("_at"), "value"))).alias("_cell"),
+        F.max(F.when(F.col("deleted"), F.struct(*order))).alias("_gone"))
     rows = newest.groupBy("sink_table", "row_key").agg(
         F.max("_gone").alias("_gone"),
-        F.collect_list(F.when(F.col("column_name").isNotNull(),
-                              F.struct("column_name", "_cell"))).alias("_cells"))
-    live = F.filter("_cells", lambda c: F.col("_gone").isNull() | (c["_cell"]["_seq"] > F.col("_gone")))
+        F.collect_list(F.when(F.col("column_name").isNotNull(), F.struct("column_name", "_cell"))).alias("_cells"))
+    live = F.filter("_cells", lambda c: F.col("_gone").isNull() | (c["_cell"]["_at"] > F.col("_gone")))
     data = F.map_from_entries(F.transform(live, lambda c: F.struct(c["column_name"], c["_cell"]["value"])))
     return rows.select("sink_table", "row_key", data.alias("data")).filter(F.size("data") > 0)
 

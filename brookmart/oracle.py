@@ -370,7 +370,7 @@ STREAMS = {
     "stream_sku_window": "sku_window", "stream_sku_order": "dws_sku_order", "stream_keyword_window": "dws_keyword_window",
     "stream_upsert_latest": "upsert_latest", "stream_base_db_route": "base_db_route", "stream_dim_sync": "dim_sync",
     "stream_pay_success": "dwd_pay_success",
-    "stream_order_detail": "dwd_order_detail", "stream_order_cancel": "dwd_order_cancel", "stream_order_refund": "dwd_order_refund",
+    "rule_views": "rule_ddl", "stream_order_detail": "dwd_order_detail", "stream_order_cancel": "dwd_order_cancel", "stream_order_refund": "dwd_order_refund",
     "stream_refund_pay": "dwd_refund_pay", "stream_comment_info": "dwd_comment_info", "stream_cart_add": "dwd_cart_add",
 }
 SQL.update({stream: SQL[batch] for stream, batch in STREAMS.items()})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from brookmart import schemas as S
 from brookmart.operators.cdc import branch, cart_add, changed_to
 from brookmart.operators.joins import fact_join, interval_join, lookup_inner
+from brookmart.streaming.deltas import DeltaJoin
 
 MONEY = "decimal(16,2)"
 
@@ -24,8 +25,8 @@ def _day(column):
     return F.col(column).try_cast("date").cast("string")
 
 
-def order_detail(ods, gap=None):
-    """Ordered items with buyer, province, activity and coupon."""
+def order_detail_parts(ods):
+    """What an ordered item is made of: detail, info, activity and coupon rows."""
     detail = branch(ods, "order_detail", "insert", [
         "id", "order_id", "sku_id", "sku_name", "create_time", "sku_num", "order_price",
         "split_total_amount", "split_activity_amount", "split_coupon_amount"])
@@ -38,23 +39,81 @@ def order_detail(ods, gap=None):
         "activity_rule_id": "activity_rule_id"}, keep=()), "act")
     coupon = _without_time(branch(ods, "order_detail_coupon", "insert", {
         "cou_id": "order_detail_id", "coupon_id": "coupon_id"}, keep=()), "cou")
-    joined = fact_join(detail, info, [("order_id", "oi_id")], "inner", gap, "oi_et")
-    joined = fact_join(joined, activity, [("id", "act_id")], "left", gap, "act_et")
-    joined = fact_join(joined, coupon, [("id", "cou_id")], "left", gap, "cou_et")
+    return {"detail": detail, "info": info, "activity": activity, "coupon": coupon}
+
+
+def _detail_rows(joined):
     return joined.withColumn("date_id", _day("create_time")).select(*S.ORDER_DETAIL)
 
 
-def order_cancel(details, ods, gap=None):
-    """Ordered items of orders that were cancelled."""
-    cancelled = branch(ods, "order_info", "update", {"oc_id": "id", "cancel_time": "operate_time"},
-                       where=changed_to("order_status", S.ORDER_CANCELLED, S.ORDER_CREATED))
-    cancelled = _without_time(cancelled, "oc").withColumnRenamed("ts", "oc_ts")
-    joined = fact_join(details, cancelled, [("order_id", "oc_id")], "inner", gap,
-                       "oc_et" if "oc_et" in cancelled.columns else None)
+def order_detail(ods, gap=None):
+    """Ordered items with buyer, province, activity and coupon."""
+    p = order_detail_parts(ods)
+    joined = fact_join(p["detail"], p["info"], [("order_id", "oi_id")], "inner", gap, "oi_et")
+    joined = fact_join(joined, p["activity"], [("id", "act_id")], "left", gap, "act_et")
+    return _detail_rows(fact_join(joined, p["coupon"], [("id", "cou_id")], "left", gap, "cou_et"))
+
+
+#: The columns of an ordered item that its own row change gives: what tells items apart where ids repeat.
+DETAIL_KEY = [c for c in S.ORDER_DETAIL if c not in ("user_id", "province_id", "activity_id", "activity_rule_id", "coupon_id", "date_id")]
+
+
+def order_detail_deltas(path, key=("id",), **options):
+    """Ordered items as they come: a function of (row changes of a batch, batch id).
+
+    An item appears in the batch in which it and its order are there. An activity or coupon that
+    comes later, in whatever batch, gives the item anew; by `key` the newer row replaces the
+    older. `key` is the id, or `DETAIL_KEY` where ids repeat. Items without an id are left out.
+    What has come is kept in `path`; see `brookmart.streaming.deltas` for the options.
+    """
+    def with_extras(sides):
+        joined = fact_join(sides["detail"], sides["activity"], [("id", "act_id")], "left")
+        return fact_join(joined, sides["coupon"], [("id", "cou_id")], "left").drop("act_id", "cou_id")
+
+    def with_order(sides):
+        return fact_join(sides["item"], sides["info"], [("order_id", "oi_id")]).drop("oi_id")
+
+    def results(ods, batch_id):
+        p = {name: df.drop("et", "oi_et", "act_et", "cou_et") for name, df in order_detail_parts(ods).items()}
+        extras = {"detail": p["detail"].filter("id is not null"), "activity": p["activity"], "coupon": p["coupon"]}
+        items = DeltaJoin(f"{path}/items", extras, {"detail": {"id": "id"}, "activity": {"id": "act_id"}, "coupon": {"id": "cou_id"}},
+                          with_extras, **options).results(extras, batch_id)
+        ordered = {"item": items, "info": p["info"]}
+        joined = DeltaJoin(f"{path}/orders", ordered, {"item": {"order_id": "order_id"}, "info": {"order_id": "oi_id"}},
+                           with_order, newest={"item": list(key)}, **options).results(ordered, batch_id)
+        return _detail_rows(joined)
+
+    return results
+
+
+def _cancelled(ods):
+    rows = branch(ods, "order_info", "update", {"oc_id": "id", "cancel_time": "operate_time"},
+                  where=changed_to("order_status", S.ORDER_CANCELLED, S.ORDER_CREATED))
+    return _without_time(rows, "oc").withColumnRenamed("ts", "oc_ts")
+
+
+def _cancel_rows(joined):
     return joined.select(*S.ORDER_CANCEL[:9], _day("cancel_time").alias("date_id"),
                          *S.ORDER_CANCEL[10:16], F.col("oc_ts").alias("ts"))
 
 
+def order_cancel(details, ods, gap=None):
+    """Ordered items of orders that were cancelled."""
+    cancelled = _cancelled(ods)
+    return _cancel_rows(fact_join(details, cancelled, [("order_id", "oc_id")], "inner", gap,
+                                  "oc_et" if "oc_et" in cancelled.columns else None))
+
+
+def order_cancel_deltas(path, **options):
+    """Items of cancelled orders as they come: a function of (details, row changes, batch id)."""
+    def results(details, ods, batch_id):
+        sides = {"detail": details.drop("et"), "cancelled": _cancelled(ods).drop("oc_et")}
+        joined = DeltaJoin(path, sides, {"detail": {"order_id": "order_id"}, "cancelled": {"order_id": "oc_id"}},
+                           lambda s: fact_join(s["detail"], s["cancelled"], [("order_id", "oc_id")]), **options)
+        return _cancel_rows(joined.results(sides, batch_id))
+    return results
+
+
 def payments(details, ods):
     """Ordered items paid within 30 minutes of ordering (5 seconds of slack), without names."""
     paid = branch(ods, "payment_info", "update", {
@@ -76,8 +135,8 @@ def pay_success(details, ods, dic):
     return with_payment_names(payments(details, ods), dic)
 
 
-def refund_requests(ods, gap=None):
-    """Refund requests with the province of their order."""
+def refund_request_parts(ods):
+    """Refund requests, and the orders of which a refund was asked."""
     refund = branch(ods, "order_refund_info", "insert", {
         "id": "id", "user_id": "user_id", "order_id": "order_id", "sku_id": "sku_id",
         "create_time": "create_time", "refund_type_code": "refund_type",
@@ -85,7 +144,25 @@ def refund_requests(ods, gap=None):
         "refund_num": "refund_num", "refund_amount": "refund_amount"})
     order = _without_time(branch(ods, "order_info", "update", {"oi_id": "id", "province_id": "province_id"},
                                  keep=(), where=changed_to("order_status", S.ORDER_REFUND_ASKED)), "oi")
-    return fact_join(refund, order, [("order_id", "oi_id")], "inner", gap, "oi_et")
+    return {"refund": refund, "order": order}
+
+
+def _requested(p, gap=None):
+    return fact_join(p["refund"], p["order"], [("order_id", "oi_id")], "inner", gap, "oi_et" if "oi_et" in p["order"].columns else None)
+
+
+def refund_requests(ods, gap=None):
+    """Refund requests with the province of their order."""
+    return _requested(refund_request_parts(ods), gap)
+
+
+def refund_request_deltas(path, **options):
+    """Refund requests as they come: a function of (row changes of a batch, batch id)."""
+    def results(ods, batch_id):
+        sides = {name: df.drop("et", "oi_et") for name, df in refund_request_parts(ods).items()}
+        return DeltaJoin(path, sides, {"refund": {"order_id": "order_id"}, "order": {"order_id": "oi_id"}},
+                         _requested, **options).results(sides, batch_id)
+    return results
 
 
 def with_refund_names(joined, dic):
@@ -101,8 +178,8 @@ def order_refund(ods, dic, gap=None):
     return with_refund_names(refund_requests(ods, gap), dic)
 
 
-def refunds_paid(ods, gap=None):
-    """Refunds that were paid out, without names."""
+def refund_payment_parts(ods):
+    """Payments of refunds, paid requests and refunded orders."""
     paid = branch(ods, "refund_payment", "update", {
         "id": "id", "order_id": "order_id", "sku_id": "sku_id", "payment_type_code": "payment_type",
         "callback_time": "callback_time", "refund_amount": "total_amount"},
@@ -113,9 +190,29 @@ def refunds_paid(ods, gap=None):
     order = _without_time(branch(ods, "order_info", "update", {
         "oi_id": "id", "user_id": "user_id", "province_id": "province_id"}, keep=(),
         where=changed_to("order_status", S.ORDER_REFUNDED)), "oi")
-    joined = fact_join(paid, request, [("order_id", "ri_order_id"), ("sku_id", "ri_sku_id")],
-                       "inner", gap, "ri_et")
-    return fact_join(joined, order, [("order_id", "oi_id")], "inner", gap, "oi_et")
+    return {"paid": paid, "request": request, "order": order}
+
+
+def _paid_out(p, gap=None):
+    timed = "oi_et" in p["order"].columns
+    joined = fact_join(p["paid"], p["request"], [("order_id", "ri_order_id"), ("sku_id", "ri_sku_id")],
+                       "inner", gap, "ri_et" if timed else None)
+    return fact_join(joined, p["order"], [("order_id", "oi_id")], "inner", gap, "oi_et" if timed else None)
+
+
+def refunds_paid(ods, gap=None):
+    """Refunds that were paid out, without names."""
+    return _paid_out(refund_payment_parts(ods), gap)
+
+
+def refunds_paid_deltas(path, **options):
+    """Refunds paid out, as they come: a function of (row changes of a batch, batch id)."""
+    key = {"paid": {"order_id": "order_id"}, "request": {"order_id": "ri_order_id"}, "order": {"order_id": "oi_id"}}
+
+    def results(ods, batch_id):
+        sides = {name: df.drop("et", "ri_et", "oi_et") for name, df in refund_payment_parts(ods).items()}
+        return DeltaJoin(path, sides, key, _paid_out, **options).results(sides, batch_id)
+    return results
 
 
 def with_refund_payment_names(joined, dic):

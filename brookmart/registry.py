@@ -17,7 +17,7 @@ from brookmart.sources import topics
 from brookmart.sources.tables import dictionary
 from brookmart.sinks.tables import apply_rule_ddl
 from brookmart.streaming.jobs import (dims_to, log_split_stream, looked_up, read_dims, records_to, routed_to,
-                                     rows_to, rule_tables_to, run_stream, upsert_to)
+                                     rows_to, rule_tables_to, rule_views_to, run_stream, upsert_to)
 
 AMOUNTS = list(SKU_AMOUNTS.values())
 ORDER_TABLES = ["order_detail", "order_info", "order_detail_activity", "order_detail_coupon"]
@@ -580,6 +580,21 @@ def stream_dim_sync(spark, t):
     return read_dims(spark, log, V.dim_rules(spark)).select("sink_table", "row_key", F.explode("data").alias("column_name", "value"))
 
 
+@query
+def rule_views(spark, t):
+    """Rules come before any row; their view follows the rows, and a later rule's new column shows older ones."""
+    folder = work_folder(spark, "views")
+    first = V.dim_rules(spark)
+    later = first.withColumns({"op": F.lit("u"), "sink_columns": F.lit("p_name,p_size"), "seq": F.lit(2).cast("bigint")})
+    database = f"views_{folder[-32:]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
+    views = rule_views_to(f"{folder}/log", database)
+    views(first, 0)
+    _dim_changes_to(spark, t, folder)
+    views(later, 1)
+    return spark.table(f"{database}.dim_part")
+
+
 @query
 def rule_ddl(spark, t):
     """A rule makes a table, its update adds a column; the table is filled anew from the changelog."""
@@ -614,32 +629,60 @@ def _ods_stream_of(t, changes):
     return topics.read_ods_db(rows.select("value"))
 
 
+def _delta_stream(spark, t, changes, results, keys=None, enrich=lambda rows: rows):
+    """Run row changes, in any order, through delta joins; rows of the same `keys` replace each other."""
+    folder = work_folder(spark, "deltas")
+    text = changes.select(F.to_json(F.struct("*")).alias("value"))
+    stream = _in_pieces(text, folder, "pmod(xxhash64(value), 1000)")
+    joined = results(f"{folder}/joined")
+
+    def write(batch, batch_id):
+        rows = topics.read_ods_db(batch).persist()
+        (upsert_to if keys else rows_to)(f"{folder}/out")(enrich(joined(rows, batch_id)), batch_id)
+        rows.unpersist()
+
+    _run(stream, write, folder)
+    if keys:
+        return topic_sinks.read_upsert(spark, f"{folder}/out", keys)
+    return spark.read.option("basePath", f"{folder}/out").parquet(f"{folder}/out").drop("batch_id")
+
+
 @query
 def stream_order_detail(spark, t):
-    """Activities and coupons of the test tables have time 0, decades before their items: hence the gap.
-
-    A watermark starts at time 0, and what is not above it is late: they come a second later.
-    """
-    rows = V.ods(t, *ORDER_TABLES).drop("et").withColumn("ts", F.greatest("ts", F.lit(1)))
-    return drain(spark, trade.order_detail(_ods_stream_of(t, rows), "12000 days"), "detail")
+    """Items appear at once and are corrected by activities and coupons that come later."""
+    key = trade.DETAIL_KEY  # ids repeat in the test tables
+    return _delta_stream(spark, t, V.ods(t, *ORDER_TABLES).drop("et"), lambda path: trade.order_detail_deltas(path, key), key)
 
 
 @query
 def stream_order_cancel(spark, t):
-    details = topic_sinks.upsert_records(trade.order_detail(V.ods(t, *ORDER_TABLES)), ["id"]).select("value")
-    facts = topics.read_order_detail(_in_pieces(details, work_folder(spark, "details"), "pmod(xxhash64(value), 1000)"))
-    return drain(spark, trade.order_cancel(facts, _ods_stream(t, "order_info")), "cancel")
+    """Details and row changes are two topics, in any order between them."""
+    folder = work_folder(spark, "cancel")
+    details = topic_sinks.upsert_records(trade.order_detail(V.ods(t, *ORDER_TABLES)), ["id"]).select("value", F.lit("detail").alias("topic"))
+    changes = V.ods(t, "order_info").drop("et").select(F.to_json(F.struct("*")).alias("value"), F.lit("ods").alias("topic"))
+    stream = _in_pieces(details.unionByName(changes), folder, "pmod(xxhash64(value), 1000)")
+    joined = trade.order_cancel_deltas(f"{folder}/joined")
+
+    def write(batch, batch_id):
+        rows = batch.persist()
+        facts, ods = (rows.where(F.col("topic") == name).select("value") for name in ("detail", "ods"))
+        rows_to(f"{folder}/out")(joined(topics.read_order_detail(facts), topics.read_ods_db(ods), batch_id), batch_id)
+        rows.unpersist()
+
+    _run(stream, write, folder)
+    return spark.read.option("basePath", f"{folder}/out").parquet(f"{folder}/out").drop("batch_id")
 
 
 @query
 def stream_order_refund(spark, t):
-    return _looked_up(spark, trade.refund_requests(_ods_stream(t, *REFUND_TABLES)), lambda: V.dictionary(spark), trade.with_refund_names)
+    return _delta_stream(spark, t, V.ods(t, *REFUND_TABLES).drop("et"), trade.refund_request_deltas,
+                         enrich=lambda rows: trade.with_refund_names(rows, V.dictionary(spark)))
 
 
 @query
 def stream_refund_pay(spark, t):
-    return _looked_up(spark, trade.refunds_paid(_ods_stream(t, *REFUND_TABLES)), lambda: V.dictionary(spark),
-                      trade.with_refund_payment_names)
+    return _delta_stream(spark, t, V.ods(t, *REFUND_TABLES).drop("et"), trade.refunds_paid_deltas,
+                         enrich=lambda rows: trade.with_refund_payment_names(rows, V.dictionary(spark)))
 
 
 @query

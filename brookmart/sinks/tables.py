@@ -64,3 +64,35 @@ def refresh_dim_table(spark, merged, rule, database):
     """Overwrite one dimension table with the merged rows of the change log."""
     rows = dim_table(merged, rule["sink_table"], _columns_of(rule))
     rows.write.mode("overwrite").insertInto(f"{database}.{rule['sink_table']}")
+
+
+def rule_view_sql(rule, path):
+    """The rows of one dimension by row key, from the cells under `path` (see `streaming.jobs.dims_to`).
+
+    The newest cell counts, unless a delete of its row is newer. Cells that lie both in the base
+    and in a batch are the same, so the view needs no list of the folders that count.
+    """
+    names = _columns_of(rule)
+
+    def text(value):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    cell = ", ".join(f"max(if(column_name = {text(c)}, struct(batch_id, seq, value), null)) AS _{i}" for i, c in enumerate(names))
+    live = [f"_{i}.value IS NOT NULL AND (_gone IS NULL OR struct(_{i}.batch_id, _{i}.seq) > _gone)" for i in range(len(names))]
+    shown = ", ".join(f"if({alive}, _{i}.value, null) AS `{c}`" for i, (c, alive) in enumerate(zip(names, live)))
+    listed = ", ".join(text(c) for c in names)
+    return f"""SELECT row_key, {shown} FROM (
+        SELECT row_key, max(if(deleted, struct(batch_id, seq), null)) AS _gone, {cell} FROM parquet.`{path}/*/*`
+        WHERE sink_table = {text(rule["sink_table"])} AND (deleted OR column_name IN ({listed})) GROUP BY row_key)
+        WHERE {" OR ".join(f"({alive})" for alive in live)}"""
+
+
+def apply_rule_views(spark, rule_changes, database, path):
+    """Create, replace and drop the views of dimensions as rules come and go (see `apply_rule_ddl`)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for rule in rule_changes.orderBy("seq").toLocalIterator():
+        name = f"{database}.{rule['sink_table']}"
+        if rule["op"] == "d":
+            spark.sql(f"DROP VIEW IF EXISTS {name}")
+        else:
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS {rule_view_sql(rule, path)}")

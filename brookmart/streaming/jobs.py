@@ -1,8 +1,12 @@
 """Running pipelines as streams."""
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from brookmart.operators.logs import fix_is_new, log_records, mark_dirty, parse_log
-from brookmart.operators.rules import current_rules, dim_changes, merge_cells, project_rows
+from brookmart.operators.rules import cells, current_rules, dim_changes, newest_cells, project_rows, rows_of_cells
+from brookmart.sinks.store import Store
+from brookmart.sinks.tables import apply_rule_ddl, apply_rule_views, refresh_dim_table
 from brookmart.sinks.topics import (write_json_rows, write_routed, write_text_topic, write_upsert,
                                     write_upsert_topic)
 
@@ -92,45 +96,76 @@ def routed_to(rules, conn, keys=("table", "type")):
     return write
 
 
-def dims_to(rules, path, database, order="seq"):
-    """Batch writer: dimension row changes under the rules in force, as a changelog.
+CELLS = "sink_table string, row_key string, column_name string, value string, deleted boolean, seq bigint"
+
+
+def dim_store(path, buckets=32):
+    """The store of dimension cells at `path` (see `brookmart.sinks.store`)."""
+    return Store(path, CELLS, ["sink_table", "row_key"], buckets)
+
+
+def _newest(rows):
+    return newest_cells(rows, "batch_id", "seq")
+
+
+def dims_to(rules, path, database, order="seq", buckets=32, fold_every=20):
+    """Batch writer: dimension row changes under the rules in force, as cells in a store.
 
     `order` orders the changes of a row within a batch: the offset in its topic (see
-    `read_text_topic`), or `ts` where a row changes at most once a second. The log
-    keeps all columns, so that a rule which lists more of them later finds them, and
-    is partitioned by dimension. `read_dims` merges it into current rows.
+    `read_text_topic`), or `ts` where a row changes at most once a second. The store
+    keeps all columns, so that a rule which lists more of them later finds them. A batch adds
+    the newest value of each cell and the newest delete of each row; every `fold_every`
+    batches they are folded into the base, deletes included.
     """
+    store = dim_store(path, buckets)
+
     def write(batch, batch_id):
+        if batch_id and batch_id % fold_every == 0:
+            store.fold(batch.sparkSession, batch_id - 1, _newest)
         in_force = current_rules(rules(), ["source_table"])
-        write_upsert(dim_changes(batch, in_force, database, order, project=False), path, batch_id, parts=["sink_table"])
+        changes = dim_changes(batch, in_force, database, order, project=False).withColumn("seq", F.col(order).cast("bigint"))
+        store.append(newest_cells(cells(changes, "seq"), "seq"), batch_id)
     return write
 
 
-def read_dims(spark, path, rules, order="seq"):
-    """Current dimension rows of the changelog written by `dims_to`, under `rules` (changes).
+def _merged(spark, path, tables=None):
+    rows = dim_store(path).read(spark)
+    if tables is not None:
+        rows = rows.filter(F.col("sink_table").isin(list(tables)))
+    return rows_of_cells(rows, "batch_id", "seq")
+
 
-    Read it by every batch that looks up in them (see `looked_up`).
+def read_dims(spark, path, rules, tables=None):
+    """Current dimension rows of the store written by `dims_to`, under `rules` (changes).
+
+    Reads the base and the batches after it, of all dimensions or of the named `tables`. A store
+    that does not exist yet is empty. Read it by every batch that looks up in them (see `looked_up`).
     """
-    from pyspark.sql import functions as F
-    log = spark.read.parquet(path).withColumn("_order", F.struct("batch_id", order))
-    return project_rows(merge_cells(log.drop("batch_id", order), "_order"), current_rules(rules, ["source_table"]))
+    return project_rows(_merged(spark, path, tables), current_rules(rules, ["source_table"]))
 
 
-def rule_tables_to(path, database, order="seq"):
-    """Batch writer for the stream of dimension rules: keep their tables in step.
+def rule_tables_to(path, database):
+    """Batch writer for the stream of dimension rules: tables that are filled when a rule changes.
 
     Tables are created, dropped and recreated as the rules say, and those that are
-    new are filled from the changelog at `path`, so an update loses no rows. Only the
-    partition of each new table is read.
+    new are filled from the store at `path`, so an update loses no rows. Between changes of
+    their rule they stand still; `rule_views_to` gives tables that follow the rows.
     """
-    from pyspark.sql import functions as F
-
-    from brookmart.sinks.tables import apply_rule_ddl, refresh_dim_table
-
     def write(batch, batch_id):
         spark = batch.sparkSession
         for rule in apply_rule_ddl(spark, batch, database).values():
-            log = spark.read.parquet(path).filter(F.col("sink_table") == rule["sink_table"])
-            merged = merge_cells(log.withColumn("_order", F.struct("batch_id", order)).drop("batch_id", order), "_order")
-            refresh_dim_table(spark, merged, rule, database)
+            refresh_dim_table(spark, _merged(spark, path, [rule["sink_table"]]), rule, database)
+    return write
+
+
+def rule_views_to(path, database):
+    """Batch writer for the stream of dimension rules: a view for each table that a rule makes.
+
+    A view merges the cells of its table when it is read, so it shows each change as soon as its
+    batch is written, and no reader meets a table without its rows: a changed rule replaces the
+    view at once. A rule may come before the first row.
+    """
+    def write(batch, batch_id):
+        dim_store(path).create(batch.sparkSession)
+        apply_rule_views(batch.sparkSession, batch, database, path)
     return write
