@@ -62,13 +62,24 @@ def fix_is_new(logs, ttl_ms=None):
     if logs.isStreaming:
         from brookmart.streaming.state import fix_is_new_stream
         return fix_is_new_stream(logs, ttl_ms)
-    mid, mark = F.col("common")["mid"], F.col("common")["is_new"]
-    claims_new = F.coalesce(mark == "1", F.lit(False))
-    first = F.min(F.col("ts") * 2 + F.when(claims_new, 0).otherwise(1))
+    return with_first_marks(logs, first_marks(logs))
+
+
+def _claims_new():
+    return F.coalesce(F.col("common")["is_new"] == "1", F.lit(False))
+
+
+def first_marks(logs):
+    """(_visitor, _first): time and mark of each visitor's first record, packed into one number."""
+    first = F.min(F.col("ts") * 2 + F.when(_claims_new(), 0).otherwise(1))
     known = logs.filter(~F.col("_dirty")) if "_dirty" in logs.columns else logs
-    starters = (known.groupBy(mid.alias("_visitor")).agg(first.alias("_first"))
-                .filter(F.col("_first") % 2 == 0)
-                .select("_visitor", day_of(F.expr("_first DIV 2")).alias("_visitor_day")))
+    return known.groupBy(F.col("common")["mid"].alias("_visitor")).agg(first.alias("_first"))
+
+
+def with_first_marks(logs, firsts):
+    """`logs` with the marks that the first records of their visitors allow."""
+    mid, mark, claims_new = F.col("common")["mid"], F.col("common")["is_new"], _claims_new()
+    starters = firsts.filter(F.col("_first") % 2 == 0).select("_visitor", day_of(F.expr("_first DIV 2")).alias("_visitor_day"))
     joined = logs.join(starters, (mid == F.col("_visitor")) & (day_of(F.col("ts")) == F.col("_visitor_day")), "left")
     fixed = F.when(~claims_new, mark).when(F.col("_visitor").isNotNull(), "1").otherwise("0")
     return (joined.withColumn("common", with_is_new(F.col("common"), fixed))

@@ -19,11 +19,11 @@ HOME_PAGES = ["home", "good_detail"]
 TRAFFIC_DIMS = ["vc", "ch", "ar", "is_new"]
 
 
-def _window_start(ms, seconds):
+def window_start(ms, seconds):
     return F.expr(f"{ms} - pmod({ms}, {seconds * 1000})")
 
 
-def _start_texts(df, seconds, start="_start"):
+def start_texts(df, seconds, start="_start"):
     bounds = F.struct(F.timestamp_millis(F.col(start)).alias("start"),
                       F.timestamp_millis(F.col(start) + seconds * 1000).alias("end"))
     return window_texts(df.withColumn("window", bounds).drop(start))
@@ -59,7 +59,7 @@ def traffic_window(pages, seconds=10, slices=1, delay="0 seconds", ttl_ms=None):
         return window_texts(sums).select(*TRAFFIC_WINDOW)
 
     rows = session_flag(pages).select(
-        _window_start("ts", seconds).alias("_start"), *TRAFFIC_DIMS,
+        window_start("ts", seconds).alias("_start"), *TRAFFIC_DIMS,
         "mid", day_of(F.col("ts")).alias("_day"),
         F.struct("ts", *TRAFFIC_DIMS).alias("_visit"), "sv_ct", "during_time")
     by_window = [F.col("_start"), *[F.col(c) for c in TRAFFIC_DIMS]]
@@ -71,13 +71,13 @@ def traffic_window(pages, seconds=10, slices=1, delay="0 seconds", ttl_ms=None):
     in_window = F.col("_is_window") == 1
     visit = F.col("_visit")
     parts = both.select(
-        F.when(in_window, F.col("_start")).otherwise(_window_start("_visit.ts", seconds)).alias("_start"),
+        F.when(in_window, F.col("_start")).otherwise(window_start("_visit.ts", seconds)).alias("_start"),
         *[F.when(in_window, F.col(c)).otherwise(visit[c]).alias(c) for c in TRAFFIC_DIMS],
         F.when(in_window, 0).otherwise(1).alias("uv_ct"),
         *[F.when(in_window, F.col(c)).otherwise(0).alias(c) for c in ("sv_ct", "pv_ct", "dur_sum")])
     sums = parts.groupBy("_start", *TRAFFIC_DIMS).agg(
         *[F.sum(c).cast("bigint").alias(c) for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum")])
-    return _start_texts(sums, seconds).select(*TRAFFIC_WINDOW)
+    return start_texts(sums, seconds).select(*TRAFFIC_WINDOW)
 
 
 def home_detail_window(pages, seconds=10, slices=1, delay="0 seconds", ttl_ms=None):
@@ -96,19 +96,19 @@ def home_detail_window(pages, seconds=10, slices=1, delay="0 seconds", ttl_ms=No
             F.sum(F.when(is_home, 0).otherwise(F.col("uv"))).alias("good_detail_uv_ct"))
         return window_texts(sums).select(*HOME_DETAIL_WINDOW)
 
-    rows = pages.filter(wanted).select(_window_start("ts", seconds).alias("_start"), "mid", "page_id",
+    rows = pages.filter(wanted).select(window_start("ts", seconds).alias("_start"), "mid", "page_id",
                         day_of(F.col("ts")).alias("_day"), "ts")
     by_window, by_visitor = [F.col("_start")], [F.col("mid"), F.col("page_id"), F.col("_day")]
     both = rows.groupingSets([by_window, by_visitor], *by_window, *by_visitor).agg(
         F.min("ts").alias("_first"), F.grouping("mid").alias("_is_window"))
     in_window = F.col("_is_window") == 1
     parts = both.select(
-        F.when(in_window, F.col("_start")).otherwise(_window_start("_first", seconds)).alias("_start"),
+        F.when(in_window, F.col("_start")).otherwise(window_start("_first", seconds)).alias("_start"),
         F.when(in_window, 0).when(is_home, 1).otherwise(0).alias("home_uv_ct"),
         F.when(in_window, 0).when(is_home, 0).otherwise(1).alias("good_detail_uv_ct"))
     sums = parts.groupBy("_start").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in ("home_uv_ct", "good_detail_uv_ct")])
-    return _start_texts(sums, seconds).select(*HOME_DETAIL_WINDOW)
+    return start_texts(sums, seconds).select(*HOME_DETAIL_WINDOW)
 
 
 def sku_window(details, key, order, amounts, seconds=10, delay="0 seconds", ttl_ms=None):
@@ -131,14 +131,14 @@ def sku_window(details, key, order, amounts, seconds=10, delay="0 seconds", ttl_
         return window_texts(sums)
 
     order = [order] if isinstance(order, str) else list(order)
-    start = _window_start("(ts * 1000)", seconds).alias("_start")
+    start = window_start("(ts * 1000)", seconds).alias("_start")
     present = details.select(start, "sku_id").distinct().select(
         "*", *[F.lit(0).cast(details.schema[c].dataType).alias(c) for c in amounts])
     kept = last_versions(details.select(key, "sku_id", start, *order, *amounts), key, order)
     parts = present.unionByName(kept.select("_start", "sku_id", *amounts))
     sums = parts.groupBy("_start", "sku_id").agg(
         *[F.sum(c).cast("decimal(38,4)").alias(c) for c in amounts])
-    return _start_texts(sums, seconds)
+    return start_texts(sums, seconds)
 
 
 def keyword_window(words, seconds=5):

@@ -3,8 +3,9 @@ from __future__ import annotations
 
 from brookmart.operators.joins import SKU_CHAIN, enrich_snowflake
 from brookmart.operators.retract import to_amounts
-from brookmart.operators.windows import sku_window
+from brookmart.operators.windows import sku_window, start_texts, window_start
 from brookmart.schemas import SKU_AMOUNTS, SKU_ORDER_WINDOW
+from brookmart.streaming.deltas import DeltaSums
 
 
 def sku_sums(details, order, seconds=10, **options):
@@ -13,6 +14,22 @@ def sku_sums(details, order, seconds=10, **options):
     return sku_window(to_amounts(details, SKU_AMOUNTS), "id", order, amounts, seconds, **options)
 
 
+def sku_sums_deltas(path, order, seconds=10, **options):
+    """Amounts by product and window as they change: a function of (details of a batch, batch id).
+
+    Gives the sums of every window that a batch changes; by window and product the newer row
+    replaces the older. Versions may come in any order and however late.
+    """
+    amounts = list(SKU_AMOUNTS.values())
+
+    def results(details, batch_id):
+        rows = to_amounts(details, SKU_AMOUNTS).withColumn("_start", window_start("(ts * 1000)", seconds))
+        sums = DeltaSums(path, rows.schema, "id", order, ["_start", "sku_id"], amounts, **options).results(rows, batch_id)
+        return start_texts(sums, seconds)
+
+    return results
+
+
 def with_products(sums, dims):
     """The sums with the dimensions of their products."""
     return enrich_snowflake(sums, dims, SKU_CHAIN).select(*SKU_ORDER_WINDOW)

@@ -6,6 +6,11 @@ from brookmart.operators import windows
 from brookmart.operators.logs import fix_is_new, pages, parse_log, search_events, split_dirty, split_log
 
 
+def clean_log(df_text):
+    """Well-formed log records."""
+    return split_dirty(parse_log(df_text))[0]
+
+
 def cleaned_log(df_text):
     """Well-formed log records with a repaired new-visitor mark."""
     clean, _ = split_dirty(parse_log(df_text))

@@ -16,7 +16,8 @@ from brookmart.sources import rules as rule_sources
 from brookmart.sources import topics
 from brookmart.sources.tables import dictionary
 from brookmart.sinks.tables import apply_rule_ddl
-from brookmart.streaming.jobs import (dims_to, log_split_stream, looked_up, read_dims, records_to, routed_to,
+from brookmart.streaming import visitors
+from brookmart.streaming.jobs import (dims_to, looked_up, read_dims, records_to, routed_to,
                                      rows_to, rule_tables_to, rule_views_to, run_stream, upsert_to)
 
 AMOUNTS = list(SKU_AMOUNTS.values())
@@ -447,40 +448,69 @@ def _in_pieces(df, folder, by, closing=None):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/in")
 
 
-CLOSING_EVENT = {"ts": "_last + interval 1 day", "user_id": "-1", "event_type": "'click'", "props": "'{\"k\": 0}'"}
+def _event_stream(t):
+    """The events table as a stream of log text."""
+    return V.log_text(t, _in_pieces(t.events, work_folder(t.spark, "events"), "ts"))
 
 
-def _event_stream(t, closing=None):
-    """The events table as a stream of log text."""
-    return V.log_text(t, _in_pieces(t.events, work_folder(t.spark, "events"), "ts", closing))
+def _log_deltas(spark, t, write, clean=traffic.clean_log):
+    """Run the log stream with repaired marks; `write(records, batch id, folder)` gets each batch."""
+    folder = work_folder(spark, "logs")
+    fix = visitors.fix_is_new_deltas(f"{folder}/visitors")
+
+    def repaired(batch, batch_id):
+        records = clean(batch).persist()
+        write(fix(records, batch_id), batch_id, folder)
+        records.unpersist()
+
+    _run(_event_stream(t), repaired, folder)
+    return folder
 
 
-def _page_stream(t, closing=None):
-    """Page records with a repaired mark; the windows set the watermark."""
-    return logs.split_log(traffic.cleaned_log(_event_stream(t, closing)))["page"]
+def _page_deltas(spark, t, results, keys):
+    """Windows over the page records of the log stream; newer sums of a window replace older ones."""
+    held = {}
+
+    def write(records, batch_id, folder):
+        rows = logs.pages(logs.split_log(records)["page"]).persist()
+        upsert_to(f"{folder}/out")(held.setdefault("results", results(f"{folder}/windows"))(rows, batch_id), batch_id)
+        rows.unpersist()
+
+    return topic_sinks.read_upsert(spark, f"{_log_deltas(spark, t, write)}/out", keys)
+
+
+def _written(spark, folder):
+    return spark.read.option("basePath", f"{folder}/out").parquet(f"{folder}/out").drop("batch_id")
 
 
 @query
 def stream_fix_is_new(spark, t):
-    fixed = traffic.cleaned_log(_event_stream(t)).select(
-        F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"), "ts")
-    return drain(spark, fixed, "fix")
+    def write(records, batch_id, folder):
+        rows_to(f"{folder}/out")(records.select(F.col("common")["mid"].alias("mid"), F.col("common")["is_new"].alias("is_new"), "ts"), batch_id)
+    return _written(spark, _log_deltas(spark, t, write))
 
 
 @query
 def uv_stream(spark, t):
-    flagged = visits.first_of_day(logs.pages(_page_stream(t)), ["mid"], flag="uv")
-    return drain(spark, flagged.select("mid", "ts", "uv"), "uv")
+    held = {}
+
+    def write(records, batch_id, folder):
+        first = held.setdefault("first", visitors.first_of_day_deltas(f"{folder}/days", ["mid"], flag="uv"))
+        rows = logs.pages(logs.split_log(records)["page"]).select("mid", "ts").persist()
+        rows_to(f"{folder}/out")(first(rows, batch_id), batch_id)
+        rows.unpersist()
+
+    return _written(spark, _log_deltas(spark, t, write))
 
 
 @query
 def stream_traffic_window(spark, t):
-    return drain(spark, traffic.traffic_window(_page_stream(t, CLOSING_EVENT)), "traffic")
+    return _page_deltas(spark, t, visitors.traffic_window_deltas, visitors.TRAFFIC_KEY)
 
 
 @query
 def stream_home_detail(spark, t):
-    return drain(spark, traffic.home_detail_window(_page_stream(t, CLOSING_EVENT)), "home")
+    return _page_deltas(spark, t, visitors.home_detail_window_deltas, ["stt"])
 
 
 @query
@@ -510,29 +540,26 @@ def _run(stream, write_batch, folder):
     run_stream(stream, write_batch, f"{folder}/checkpoint", drain=True).awaitTermination()
 
 
-#: Versions of a detail may lie years apart: a window stays open for so long.
-VERSIONS_APART = "4000 days"
+def _sku_deltas(spark, t, enrich=lambda sums: sums):
+    """Line items in any order, summed by differences; newer sums of a window replace older ones."""
+    folder = work_folder(spark, "sku")
+    sums = sku.sku_sums_deltas(f"{folder}/deltas", V.VERSION)
 
+    def write(batch, batch_id):
+        upsert_to(f"{folder}/out")(enrich(sums(batch, batch_id)), batch_id)
 
-def _sku_stream(t):
-    """Line items in any order, then one that closes all windows."""
-    rows = _in_pieces(t.lineitem, work_folder(t.spark, "lineitem"),
-                      "pmod(xxhash64(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate), 1000)",
-                      {"l_orderkey": "-1", "l_shipdate": "l_shipdate + interval 8000 days"})
-    tables = V.Tables(t.spark, t.folder)
-    tables.lineitem = rows
-    return V.sku_details(tables)
+    _run(V.sku_details(_stream_of(spark, t, "lineitem")), write, folder)
+    return topic_sinks.read_upsert(spark, f"{folder}/out", ["stt", "sku_id"])
 
 
 @query
 def stream_sku_window(spark, t):
-    details = retract.to_amounts(_sku_stream(t), SKU_AMOUNTS)
-    return drain(spark, windows.sku_window(details, "id", V.VERSION, AMOUNTS, delay=VERSIONS_APART), "sku")
+    return _sku_deltas(spark, t)
 
 
 @query
 def stream_sku_order(spark, t):
-    return _looked_up(spark, sku.sku_sums(_sku_stream(t), V.VERSION, delay=VERSIONS_APART), lambda: V.sku_dims(t), sku.with_products)
+    return _sku_deltas(spark, t, lambda sums: sku.with_products(sums, V.sku_dims(t)))
 
 
 @query
@@ -550,8 +577,9 @@ def stream_upsert_latest(spark, t):
 
 @query
 def stream_log_records(spark, t):
-    folder = work_folder(spark, "records")
-    _run(log_split_stream(_event_stream(t)), records_to({"format": "text", "path": f"{folder}/out"}), folder)
+    def write(records, batch_id, folder):
+        records_to({"format": "text", "path": f"{folder}/out"})(logs.log_records(records), batch_id)
+    folder = _log_deltas(spark, t, write, lambda text: logs.mark_dirty(logs.parse_log(text)))
     return spark.read.text(f"{folder}/out").select("topic", "value")
 
 

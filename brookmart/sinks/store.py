@@ -36,13 +36,14 @@ def finished(spark, path, name):
 
 def sortable(*columns):
     """Keys as one text that sorts whole numbers by value: each with its length before it."""
-    return F.concat_ws("/", *[F.concat(F.lpad(F.length(c).cast("string"), 5, "0"), F.lit(":"), F.col(c)) for c in columns])
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.concat_ws("/", *[F.concat(F.lpad(F.length(t).cast("string"), 5, "0"), F.lit(":"), t) for t in texts])
 
 
 class Store:
     """Rows by key, appended in batches; what they mean is up to the reader.
 
-    `schema` has the key columns (texts) and any others but those of `OWN`. `buckets` of a base
+    `schema` has the key columns and any others but those of `OWN`. `buckets` of a base
     should hold about a task's worth of rows each.
     """
 

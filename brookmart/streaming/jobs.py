@@ -105,7 +105,7 @@ def dim_store(path, buckets=32):
 
 
 def _newest(rows):
-    return newest_cells(rows, "batch_id", "seq")
+    return newest_cells(rows.drop("bucket", "place"), "batch_id", "seq")
 
 
 def dims_to(rules, path, database, order="seq", buckets=32, fold_every=20):
