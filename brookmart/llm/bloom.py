@@ -55,10 +55,12 @@ def may_hold(rows: DataFrame, column: str, keys: DataFrame, bits_per_row: int =
 
 
 def without(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    """The rows whose `column` is none of `keys` (one column of the same name, materialised).
+    """The rows whose `column` is none of `keys` (one column, materialised).
 
-    Rows that the filter tells apart pass straight through; only the others are shuffled.
+    Rows that the filter tells apart pass straight through; only the others are shuffled. Columns
+    of `rows` may have any names.
     """
-    flagged = may_hold(rows, column, keys)
-    passed = flagged.where("not maybe").select(*rows.columns)
-    return passed.unionByName(flagged.where("maybe").select(*rows.columns).join(keys, column, "left_anti").select(*rows.columns))
+    key = keys.toDF("key")
+    flagged = may_hold(rows.select(F.struct(*rows.columns).alias("held"), F.col(column).alias("key")), "key", key)
+    passed = flagged.where("not maybe").select("held.*")
+    return passed.unionByName(flagged.where("maybe").join(key, "key", "left_anti").select("held.*"))

@@ -27,6 +27,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """row, a key of its own for every row, and doc, the row as a struct; written, so that all reads see
+    the same keys. No column name of `docs` can clash with what an operator adds."""
+    return materialise(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")), "keyed")
+
+
 def whole_text(df: DataFrame, column: str = "text") -> DataFrame:
     """The rows with a text that is never null."""
     return df.withColumn(column, F.coalesce(F.col(column).cast("string"), F.lit("")))

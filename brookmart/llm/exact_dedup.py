@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import SPACE, materialise
+from .common import SPACE, keyed, materialise
 
 def fingerprint(text):
     """SHA-256 (lowercase hex) of a text whose white space runs are single spaces; null is empty."""
@@ -53,11 +53,17 @@ def exact_dedup(docs: DataFrame, bits_per_row: int = 16, max_bits: int = 1 << 28
     return single.unionByName(matched)
 
 
-def drop_copies(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs`, all columns, without the copies that `exact_dedup` drops.
+def drop_copies(docs: DataFrame, bits_per_row: int = 16, max_bits: int = 1 << 28) -> DataFrame:
+    """The rows of `docs`, all columns: of equal texts the one with the smallest doc_id.
 
-    Doc_ids are taken as unique; rows without one stay.
+    A null text is an empty one. Rows are told apart by a key of their own: of equal texts exactly
+    one row stays, also where doc_ids are repeated or null (a null one is larger than any other), and
+    a row never goes because another text has its doc_id. An empty table gives an empty one.
     """
-    result = materialise(exact_dedup(docs, **options), "exact-dedup")
-    dropped = result.where("not kept").select("doc_id").distinct()
-    return bloom.without(docs, "doc_id", dropped)
+    held = keyed(docs)
+    hashed = materialise(held.select("row", F.col("doc.doc_id").alias("doc_id"), fingerprint(F.col("doc.text")).alias("text_sha256")), "digests")
+    rows = flag_repeats(hashed, bloom.blocks_for(hashed.count(), bits_per_row, max_bits)).where("maybe").select("row", "doc_id", "text_sha256")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
+    groups = rows.groupBy("text_sha256", F.substring("text_sha256", 1, 32).alias("half")).agg(first).drop("half")
+    dropped = rows.join(groups, "text_sha256").where("row != first.row").select("row")
+    return bloom.without(held, "row", materialise(dropped, "copies")).select("doc.*")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import materialise
+from .common import keyed, materialise
 
 TARGETS = ("toxic", "low")
 TOKEN = re.compile(r"\w+")
@@ -175,8 +175,9 @@ def _logit(p: Column) -> Column:
     return F.log(p / (1 - p))
 
 
-def place_posteriors(scored: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
-    """(host, path) with n and, per target, the path's shift in log odds against the global mean."""
+def place_sums(scored: DataFrame, host: str = "source", path: str = "lang") -> tuple[DataFrame, dict]:
+    """(host, path) with n, host_n and, per target, the sums over path and host; and per target the global
+    mean and the strengths (in rows) of the two priors."""
     sums = [F.sum(_sigmoid(F.col(f"{t}_odds"))).alias(t) for t in TARGETS]
     paths = materialise(scored.groupBy(host, path).agg(F.count(F.lit(1)).alias("n"), *sums), "paths")
     hosts = materialise(paths.groupBy(host).agg(F.sum("n").alias("host_n"), *[F.sum(t).alias(f"host_{t}") for t in TARGETS]), "hosts")
@@ -188,32 +189,47 @@ def place_posteriors(scored: DataFrame, host: str = "source", path: str = "lang"
         return float(np.clip(mean * (1 - mean) / max(spread, 1e-9) - 1, 1.0, 1e6))
 
     totals = hosts.agg(F.sum("host_n").alias("n"), *[F.sum(f"host_{t}").alias(t) for t in TARGETS]).first()
-    shifts, both = {}, paths.join(hosts.withColumnRenamed(host, "_site"), F.col(host).eqNullSafe(F.col("_site")))
+    priors, both = {}, paths.join(hosts.withColumnRenamed(host, "_site"), F.col(host).eqNullSafe(F.col("_site"))).drop("_site")
     for t in TARGETS:
         mean = (totals[t] + 0.5) / (totals["n"] + 1) if totals["n"] else 0.5
-        host_prior, path_prior = strength(hosts, "host_n", f"host_{t}", mean), strength(paths, "n", t, mean)
-        host_rate = (F.col(f"host_{t}") + mean * host_prior) / (F.col("host_n") + host_prior)
-        path_rate = (F.col(t) + host_rate * path_prior) / (F.col("n") + path_prior)
-        shifts[t] = _logit(F.greatest(F.lit(1e-9), F.least(path_rate, F.lit(1 - 1e-9)))) - float(np.log(mean / (1 - mean)))
-    return both.select(host, path, "n", *[s.alias(f"{t}_shift") for t, s in shifts.items()])
+        priors[t] = (mean, strength(hosts, "host_n", f"host_{t}", mean), strength(paths, "n", t, mean))
+    return both, priors
+
+
+def place_shift(t: str, prior: tuple[float, float, float], own: Column | float, rows: int) -> Column:
+    """The shift in log odds of a path against the global mean, without `rows` rows of probability `own`:
+    a document is judged by the other documents of its place, as its own evidence counts already."""
+    mean, host_prior, path_prior = prior
+    host_rate = (F.col(f"host_{t}") - own + mean * host_prior) / (F.col("host_n") - rows + host_prior)
+    path_rate = (F.col(t) - own + host_rate * path_prior) / (F.col("n") - rows + path_prior)
+    return _logit(F.greatest(F.lit(1e-9), F.least(path_rate, F.lit(1 - 1e-9)))) - float(np.log(mean / (1 - mean)))
+
+
+def place_posteriors(scored: DataFrame, host: str = "source", path: str = "lang") -> DataFrame:
+    """(host, path) with n and, per target, the path's shift in log odds against the global mean."""
+    both, priors = place_sums(scored, host, path)
+    return both.select(host, path, "n", *[place_shift(t, priors[t], 0.0, 0).alias(f"{t}_shift") for t in TARGETS])
 
 
 def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", max_labelled: int = 10000,
-             words: int = 2000, threshold: float = 0.5) -> DataFrame:
+             words: int = 2000, threshold: float = 0.5, key: str = "doc_id") -> DataFrame:
     """doc_id, source and lang (the place), document and posterior probabilities, and kept.
 
-    A document is kept if neither posterior reaches `threshold`. Every row of `docs` gives one
-    row; null texts are empty, null places are places. Labels with a null, or of an unknown
-    document, are ignored; a document labelled twice is what its worst label says. Without usable
-    labels of both kinds a model has a constant. Other columns are ignored.
+    A document's own probability is left out of the means of its place. It is kept if neither
+    posterior reaches `threshold`. Every row of `docs` gives one row; null texts are empty, null
+    places are places. Labels with a null, or of an unknown document, are ignored; a document
+    labelled twice is what its worst label says. Without usable labels of both kinds a model has a
+    constant. Other columns are ignored.
     """
     model = train(labelled_sample(docs, labels, max_labelled), words)
-    scored = document_odds(docs.select("doc_id", F.col("text").cast("string").alias("text"),
+    scored = document_odds(docs.select(F.col(key).alias("doc_id"), F.col("text").cast("string").alias("text"),
                                        F.col(host).cast("string").alias("_host"), F.col(path).cast("string").alias("_path")), model)
     scored = materialise(scored, "scored")
-    places = materialise(place_posteriors(scored, "_host", "_path"), "places").withColumnsRenamed({"_host": "_h", "_path": "_p"})
+    sums, priors = place_sums(scored, "_host", "_path")
+    places = materialise(sums, "places").withColumnsRenamed({"_host": "_h", "_path": "_p"})
     joined = scored.join(places, F.col("_host").eqNullSafe(F.col("_h")) & F.col("_path").eqNullSafe(F.col("_p")))
-    posterior = {t: _sigmoid(F.col(f"{t}_odds") + F.col(f"{t}_shift")) for t in TARGETS}
+    shift = {t: place_shift(t, priors[t], _sigmoid(F.col(f"{t}_odds")), 1) for t in TARGETS}
+    posterior = {t: _sigmoid(F.col(f"{t}_odds") + shift[t]) for t in TARGETS}
     return joined.select(
         "doc_id", F.col("_host").alias(host), F.col("_path").alias(path), F.col("n").alias("place_rows"),
         *[_sigmoid(F.col(f"{t}_odds")).alias(f"{t}_document") for t in TARGETS],
@@ -222,6 +238,10 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of `docs`, all columns, that `classify` keeps. Doc_ids are taken as unique."""
-    rejected = classify(docs, labels, **options).where("not kept").select("doc_id")
-    return bloom.without(docs, "doc_id", materialise(rejected, "rejected"))
+    """The rows of `docs`, all columns, that `classify` keeps, each judged by its own text: rows are
+    told apart by a key of their own, so doc_ids may be null or repeated."""
+    held = keyed(docs)
+    read = dict.fromkeys(("doc_id", "text", options.get("host", "source"), options.get("path", "lang")))
+    given = held.select(F.col("row").alias("row_key"), *[F.col(f"doc.{c}").alias(c) for c in read])
+    rejected = classify(given, labels, key="row_key", **options).where("not kept").select("doc_id")
+    return bloom.without(held, "row", materialise(rejected, "rejected")).select("doc.*")
