@@ -100,8 +100,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=1.5, ceiling=2, seed=42, shard_r
     taken more than `ceiling` times. Rows without words are not taken. Rows with the same doc_id
     are told apart by their order in the shard, and the whole is the same on every run.
 
-    The block size is the smallest target of a source with words, divided by
-    `blocks_per_source`, at least 1 and at most `max_block`.
+    Sources are apportioned in blocks of the smallest target of a source with words, divided by
+    `blocks_per_source`, at least 1 and at most `max_block`. A source's words are cut into blocks of
+    its own target divided likewise, so a tiny source makes only its own blocks small; what a source
+    takes differs from its target by the rounding to either size.
     """
     return _mix(sizes(docs), weights, share, ceiling, seed, shard_rows, blocks_per_source, max_block)
 
@@ -118,8 +120,10 @@ def _mix(sized, weights=WEIGHTS, share=1.5, ceiling=2, seed=42, shard_rows=5000,
                .withColumn("seats", F.round(F.sum("target").over(whole) / F.col("block")).cast("long"))
                .withColumn("everything", F.lit(0)))
     sources = apportion(sources, "target", "seats", ["source"], ["everything"])
-    sources = materialise(sources.withColumnRenamed("quota", "source_quota")
-                          .drop("everything", "seats", "source_rows"), "source-quotas")
+    own = F.greatest(F.lit(1), F.least(F.lit(max_block), F.floor(F.col("target") / blocks_per_source))).cast("long")
+    sources = sources.withColumn("words", F.col("quota") * F.col("block")).withColumn("block", F.coalesce(own, F.lit(1).cast("long")))
+    sources = sources.withColumn("source_quota", F.round(F.col("words") / F.col("block")).cast("long"))
+    sources = materialise(sources.drop("everything", "seats", "source_rows", "quota", "words"), "source-quotas")
 
     key = F.coalesce(F.col("d.doc_id").cast("string"), F.lit("null"))
     # The sources' table is read from a file: it is broadcast only if its size allows.
