@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import keyed, materialise
 
 BITS = 6
 
@@ -104,8 +104,19 @@ def shard(rows: DataFrame, key: list[str], text_dims: list[str], size_dims: list
             .select(*rows.columns, "curve", "shard", "slot"))
 
 
-def write_shards(docs: DataFrame, shards: DataFrame, path: str) -> None:
-    """Write `docs` (unique doc_id) as one folder per shard, in curve order."""
-    placed = docs.join(shards.select("doc_id", "shard", "slot"), "doc_id")
-    (placed.repartition("shard").sortWithinPartitions("shard", "slot").drop("slot")
-     .write.partitionBy("shard").parquet(path))
+def write_shards(docs: DataFrame, path: str, text_dims: list[str], size_dims: list[str], shards: int) -> DataFrame:
+    """Write `docs`, all columns, as one folder per shard, in curve order; returns them as read back.
+
+    Rows are told apart by a key of their own: doc_ids may be null or repeated. The folders are
+    named by `shard`, with an underscore more where `docs` has such a column.
+    """
+    held = keyed(docs)
+    dims = [F.col(f"doc.{c}").alias(f"dim_{c}") for c in (*text_dims, *size_dims)]
+    placed = shard(held.select("row", *dims), ["row"], [f"dim_{c}" for c in text_dims], [f"dim_{c}" for c in size_dims], shards)
+    folder = "shard"
+    while folder in docs.columns:
+        folder += "_"
+    rows = held.join(placed.select("row", F.col("shard").alias("to"), "slot"), "row")
+    dealt = rows.repartition("to").sortWithinPartitions("to", "slot")
+    dealt.select("doc.*", F.col("to").alias(folder)).write.partitionBy(folder).parquet(path)
+    return docs.sparkSession.read.parquet(path)

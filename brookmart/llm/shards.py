@@ -20,10 +20,13 @@ def stream_through(rows: DataFrame, asked: DataFrame, shards: int, build: Callab
     """What `answer` gives for the questions `asked`, by an index of each shard that `build` makes.
 
     `rows` has shard (0 to `shards` - 1) and width; `asked` has width. Rows and questions meet where
-    their widths are equal. Other columns are theirs; what one side lacks is null there.
+    their widths are equal. Other columns are theirs; what one side lacks is null there. Where `asked`
+    names a `shard`, a question goes to that one only.
     """
     dealt = rows.withColumn("kind", F.lit(0))
-    questions = asked.withColumns({"kind": F.lit(1), "shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))})
+    questions = asked.withColumn("kind", F.lit(1))
+    if "shard" not in asked.columns:
+        questions = questions.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     both = dealt.unionByName(questions, allowMissingColumns=True)
     names = ["shard", "width", "kind"]
 

@@ -1,22 +1,24 @@
 """Exact top-k search by inner product, with ball trees.
 
-The rows are dealt into shards and the queries into blocks. A task holds one shard and one block
-of bounded size, builds a ball tree over the shard (nodes with a centre and a radius) and answers
-the block: nodes are visited in the order of their upper bound <q, centre> + |q| * radius, and a
-query is done when the bound of the next node is below its k-th score. The k-th scores are
-shared: each block first visits one home shard, and carries what it found there to all others as
-the score to beat. A shard is sent once for each block, which is little beside the search itself.
+The rows are dealt into shards once. A task reads a shard, builds a ball tree over it (nodes with a centre
+and a radius) and answers the queries that stream through it (see `shards`): it holds one shard and one
+batch of queries. Nodes are visited in the order of their upper bound <q, centre> + |q| * radius, and a
+query is done when the bound of the next node is below its k-th score. The k-th scores are shared:
+each query first visits one home shard, and carries what it found there to all others as the score to
+beat. So each row is sent twice, and each query once to every shard, however many queries there are.
 """
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
+from .shards import stream_through
 
 LEAF = 64
 HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
@@ -55,17 +57,31 @@ class BallTree:
         self.radii = np.array(radii)
 
 
-def search(queries, query_ids, bounds, rows, row_ids, k):
+class Index:
+    """The rows of a shard and their ball tree."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray):
+        self.tree, self.rows, self.ids = BallTree(rows.astype(np.float64)), rows, ids
+        self.most = max(1, int(np.abs(rows).max(initial=0)))
+        self.leaves: dict = {}
+
+    def leaf(self, node: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        if (node, kind) not in self.leaves:
+            begin, end, _, _ = self.tree.nodes[node]
+            own = self.tree.order[begin:end]
+            self.leaves[node, kind] = (self.ids[own], self.rows[own].astype(kind))
+        return self.leaves[node, kind]
+
+
+def search(index: Index, queries: np.ndarray, query_ids: list[int], bounds: list[int], k: int) -> Iterator[tuple[int, int, int]]:
     """Hits (query_id, vec_id, score) of at most k rows per query that may be among its k best.
 
     `bounds`: the score that a row must reach to matter. Products are whole numbers.
     """
-    tree = BallTree(rows.astype(np.float64))
-    most = max(1, int(np.abs(rows).max(initial=0))) * max(1, int(np.abs(queries).max(initial=0))) * rows.shape[1]
+    tree = index.tree
+    most = index.most * max(1, int(np.abs(queries).max(initial=0))) * queries.shape[1]
     kind = np.float64 if most < EXACT else object  # beyond doubles: Python's whole numbers
-    rows_k, queries_k = rows.astype(kind), queries.astype(kind)
-    leaves = {n: (row_ids[tree.order[b:e]], rows_k[tree.order[b:e]])
-              for n, (b, e, left, _) in enumerate(tree.nodes) if left < 0}
+    queries_k = queries.astype(kind)
     upper = queries.astype(np.float64) @ tree.centres.T
     norms = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1))
     # A little more than the bound, for what rounding may take from it.
@@ -80,7 +96,7 @@ def search(queries, query_ids, bounds, rows, row_ids, k):
                 heapq.heappush(heap, (-upper[i, left], left))
                 heapq.heappush(heap, (-upper[i, right], right))
                 continue
-            ids, vectors = leaves[node]
+            ids, vectors = index.leaf(node, kind)
             scores = vectors @ queries_k[i]
             for j in np.nonzero(scores >= need)[0]:
                 if ids[j] == query_id:
@@ -112,13 +128,14 @@ def integer_vectors(rows: DataFrame, id_column: str, vector: str, scale: int, *m
 
 
 def top_k(rows: DataFrame, k: int = 10, every: int = 100, id_column: str = "vec_id", vector: str = "embedding",
-          scale: int = 1024, shard_rows: int = 65536, block: int = 8192) -> DataFrame:
+          scale: int = 1024, shard_rows: int = 65536, block: int = 1024) -> DataFrame:
     """query_id, rank, vec_id and score of the k rows with the highest inner product with each query.
 
     Queries are the rows whose id is divisible by `every`; candidates are all other rows of the
     same number of components. Ties go to the smaller id. Repeated rows are repeated candidates,
     but a row with a query's id is never its candidate; a repeated query is answered once.
-    Vectors without components and empty tables give no rows. Scores must fit 64 bits.
+    Vectors without components and empty tables give no rows. Scores must fit 64 bits. A task compares
+    `block` queries at a time with the nodes of a shard.
     """
     fit = materialise(integer_vectors(rows, id_column, vector, scale).where("size(v) > 0"), "vectors")
     total = fit.count()
@@ -127,34 +144,27 @@ def top_k(rows: DataFrame, k: int = 10, every: int = 100, id_column: str = "vec_
     width = F.size("v").alias("width")
     candidates = fit.select("vec_id", "v", width, F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int").alias("shard"))
     queries = fit.where(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"])
-    blocks = max(1, -(-total // (every * block)))
-    queries = queries.select("vec_id", "v", width, F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int").alias("block"))
+    queries = queries.select("vec_id", "v", width, F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(shards)).cast("int").alias("home"))
     lowest = -(1 << 63)
 
-    def probe(cand: pa.Table, asked: pa.Table) -> pa.Table:
-        hits: list[tuple] = []
-        if len(cand) and len(asked):
-            found = search(_matrix(asked["v"]), asked["vec_id"].to_pylist(), asked["bound"].to_pylist(),
-                           _matrix(cand["v"]), cand["vec_id"].to_numpy(), k)
-            hits = list(found)
-        return pa.table([list(c) for c in zip(*hits)] if hits else [[], [], []], schema=HITS)
-
-    at_home_only = F.col("shard") == F.pmod("block", F.lit(shards))
-
-    def ask(asked: DataFrame, visits: Column) -> DataFrame:
-        """Hits of the queries in the pairs of shard and block that `visits` names."""
-        key = ["shard", "block", "width"]
-        sent = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).where(visits)
-        asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(visits)
-        asked = asked.toDF(*asked.columns)  # columns of its own: both sides come from one table
-        return sent.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(
-            probe, "query_id long, vec_id long, score long")
-
-    at_home = ask(queries.withColumn("bound", F.lit(lowest)), at_home_only)
-    at_home = materialise(at_home, "home-hits")
+    def build(table: pa.Table) -> Index:
+        return Index(_matrix(table["v"]), table["vec_id"].to_numpy())
+
+    def answer(index: Index, batch: pa.RecordBatch) -> pa.RecordBatch:
+        hits = []
+        for at in range(0, len(batch), block):
+            own = batch.slice(at, block)
+            hits += search(index, _matrix(pa.chunked_array([own.column("v")])), own.column("vec_id").to_pylist(), own.column("bound").to_pylist(), k)
+        return pa.record_batch([pa.array(c, pa.int64()) for c in (zip(*hits) if hits else [[]] * 3)], schema=HITS)
+
+    def ask(asked: DataFrame) -> DataFrame:
+        return stream_through(candidates, asked, shards, build, answer, "query_id long, vec_id long, score long")
+
+    at_home = materialise(ask(queries.withColumn("bound", F.lit(lowest)).withColumnRenamed("home", "shard")), "home-hits")
     bound = at_home.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bound"))
     others = (queries.join(bound, F.col("vec_id") == F.col("query_id"), "left")
-              .withColumn("bound", F.coalesce("bound", F.lit(lowest))).select(*queries.columns, "bound"))
+              .withColumn("bound", F.coalesce("bound", F.lit(lowest))).select(*queries.columns, "bound")
+              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard != home").drop("home"))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (at_home.unionByName(ask(others, ~at_home_only)).withColumn("rank", F.row_number().over(best).cast("int"))
+    return (at_home.unionByName(ask(others)).withColumn("rank", F.row_number().over(best).cast("int"))
             .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
