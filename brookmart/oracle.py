@@ -368,7 +368,7 @@ SQL = {
 STREAMS = {
     "stream_traffic_window": "dws_traffic_window", "stream_home_detail": "dws_home_detail",
     "stream_sku_window": "sku_window", "stream_sku_order": "dws_sku_order", "stream_keyword_window": "dws_keyword_window",
-    "stream_upsert_latest": "upsert_latest", "stream_base_db_route": "base_db_route", "stream_dim_sync": "dim_sync",
+    "stream_upsert_latest": "upsert_latest", "stream_keyed_table": "upsert_latest", "stream_base_db_route": "base_db_route", "stream_dim_sync": "dim_sync",
     "stream_pay_success": "dwd_pay_success",
     "rule_views": "rule_ddl", "stream_order_detail": "dwd_order_detail", "stream_order_cancel": "dwd_order_cancel", "stream_order_refund": "dwd_order_refund",
     "stream_refund_pay": "dwd_refund_pay", "stream_comment_info": "dwd_comment_info", "stream_cart_add": "dwd_cart_add",

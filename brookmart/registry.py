@@ -12,6 +12,7 @@ from brookmart.plans import routing, sku, trade, traffic
 from brookmart.schemas import SKU_AMOUNTS
 from brookmart.session import configure, work_folder
 from brookmart.sinks import topics as topic_sinks
+from brookmart.sinks.store import KeyedTable
 from brookmart.sources import rules as rule_sources
 from brookmart.sources import topics
 from brookmart.sources.tables import dictionary
@@ -575,6 +576,16 @@ def stream_upsert_latest(spark, t):
     return topic_sinks.latest_per_key(spark.read.parquet(f"{folder}/log").drop("batch_id"), ["id"], V.VERSION)
 
 
+@query
+def stream_keyed_table(spark, t):
+    """The newest version of each detail, in a table that folds its batches while readers keep its path."""
+    folder = work_folder(spark, "table")
+    details = V.sku_details(_stream_of(spark, t, "lineitem"))
+    table = KeyedTable(f"{folder}/table", details.schema, ["id"], V.VERSION, fold_every=2)
+    _run(details, table.upsert, folder)
+    return table.current(spark)
+
+
 @query
 def stream_log_records(spark, t):
     def write(records, batch_id, folder):

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from brookmart.sinks.topics import latest_per_key
+
 FINISHED = "_SUCCESS"
 
 
@@ -62,10 +64,13 @@ class Store:
     def append(self, df, batch_id):
         """Write the rows of a batch, in place of what an earlier run of it wrote."""
         rows = self._placed(df.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        # One exchange, whose small partitions adaptive execution joins: few files, each with a
-        # short range of buckets and keys.
-        rows.repartition("bucket").sortWithinPartitions("bucket", "place").write.mode("overwrite").parquet(
-            f"{self.path}/tail/batch={batch_id}")
+        self._write(rows, f"{self.path}/tail/batch={batch_id}")
+
+    @staticmethod
+    def _write(rows, path):
+        # One exchange, whose small partitions adaptive execution joins and whose large ones (a hot
+        # key) it splits: few files, each with a short range of buckets and keys.
+        rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "place").write.mode("overwrite").parquet(path)
 
     def create(self, spark):
         """An empty base, where there is nothing yet: readers by path find a schema."""
@@ -119,7 +124,7 @@ class Store:
             return
         rows = self.read(spark, upto=upto, replay=upto + 1)
         merged = self._placed(merge(rows)) if merge else rows
-        merged.repartition("bucket").sortWithinPartitions("bucket", "place").write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
+        self._write(merged, f"{self.path}/base/upto={upto}")
         held = [n for n in bases if n < upto][-1:]
         if held:
             fs, _ = _folder(spark, self.path)
@@ -127,3 +132,43 @@ class Store:
                    *(f"tail/batch={n}" for n in finished(spark, f"{self.path}/tail", "batch") if n <= held[0])]
             for folder in old:
                 fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}"), True)
+
+
+class KeyedTable(Store):
+    """Current rows by key: upserts and, by a true `_deleted`, deletes.
+
+    `order` orders the changes of a key within a batch (else one of them counts). Reads aggregate the
+    base, which has a row for each key, and the batches after it; folding keeps deletes, so that an older
+    batch that is run again stays outranked. Readers keep the path of the table.
+    """
+
+    def __init__(self, path, schema, keys, order=(), buckets=32, fold_every=20):
+        super().__init__(path, schema, keys, buckets)
+        self.order, self.fold_every = [order] if isinstance(order, str) else list(order), fold_every
+
+    def _newest(self, rows):
+        return latest_per_key(rows, self.keys, ["batch_id", *self.order], drop_deleted=False)
+
+    def upsert(self, batch, batch_id):
+        """Batch writer: the newest change of each key."""
+        if batch_id and batch_id % self.fold_every == 0:
+            self.fold(batch.sparkSession, batch_id - 1, self._newest)
+        order = self.order or [c for c in batch.columns if c not in self.keys][:1]
+        self.append(latest_per_key(batch, self.keys, order, drop_deleted=False), batch_id)
+
+    def current(self, spark):
+        """The newest row of every key that is not deleted."""
+        newest = latest_per_key(self.read(spark), self.keys, ["batch_id", *self.order])
+        return newest.drop("batch_id", "bucket", "place")
+
+    def among(self, spark, keys):
+        """The current rows of the keys in `keys` (a DataFrame with the key columns): look-ups that
+        scan only the buckets, and the range of keys, that are asked for."""
+        asked = self._placed(keys.select(*[F.col(k).cast(self.schema[k].dataType).alias(k) for k in self.keys]).distinct().select(
+            *[F.col(k) if k in self.keys else F.lit(None).cast(self.schema[k].dataType).alias(k) for k in self.schema.fieldNames() if k not in ("bucket", "place")]))
+        buckets, low, high = asked.agg(F.collect_set("bucket"), F.min("place"), F.max("place")).first()
+        rows = self.read(spark).where(F.col("place").between(F.lit(low), F.lit(high)))
+        if len(buckets) < self.buckets:
+            rows = rows.where(F.col("bucket").isin(buckets))
+        newest = latest_per_key(rows.join(asked.select("place"), "place", "left_semi"), self.keys, ["batch_id", *self.order])
+        return newest.drop("batch_id", "bucket", "place")

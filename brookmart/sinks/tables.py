@@ -1,6 +1,7 @@
 """Sinks that write tables, and table life cycle driven by rules."""
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from brookmart.operators.rules import dim_table
 
@@ -11,11 +12,22 @@ def output_columns(df, columns):
 
 
 def write_table(df, table, batch_id=None, path=None):
-    """Append to a catalog table, or to a folder in which each batch owns a part."""
-    if path is None:
+    """Append to a catalog table, or to a folder in which each batch owns a part.
+
+    With a batch id, a catalog table is partitioned by `batch_id`, and a batch that is run again
+    replaces its own partition; it is created by the first batch. Without one, rows are appended.
+    """
+    if path is not None:
+        df.write.mode("overwrite").parquet(f"{path}/{table}/batch_id={batch_id or 0}")
+    elif batch_id is None:
         df.write.mode("append").saveAsTable(table)
     else:
-        df.write.mode("overwrite").parquet(f"{path}/{table}/batch_id={batch_id or 0}")
+        spark = df.sparkSession
+        if not spark.catalog.tableExists(table):
+            df.limit(0).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.partitionBy("batch_id").saveAsTable(table)
+        columns = [c for c in spark.table(table).columns if c != "batch_id"]
+        rows = ", ".join(f"`{c}`" for c in columns)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) SELECT {rows} FROM {{rows}}", rows=df)
 
 
 def jdbc_options(table, conn, batchsize=1000):

@@ -31,3 +31,16 @@ def load_rules_snapshot(spark, source):
     else:
         rules = spark.read.parquet(source)
     return snapshot_as_changes(rules)
+
+
+def fenced_rules(snapshot, changes, position):
+    """Rules of a snapshot and the changes that came after it, as one stream of changes.
+
+    `position` is the end of the change topic when the snapshot was read, taken before reading
+    it: changes up to it (by `seq`) are in the snapshot and would only bring older rules back, so
+    they are left out. Later ones may be in the snapshot too; they are applied once more, in
+    order, and give the same rules. The snapshot's rows stand at `position`.
+    """
+    fence = F.lit(position).cast("bigint")
+    first = snapshot.select(*[fence.alias("seq") if c == "seq" else c for c in snapshot.columns])
+    return first.unionByName(changes.filter(F.col("seq") > fence), allowMissingColumns=True)
