@@ -2,7 +2,9 @@
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame, which is written as Parquet and read again as the next one's docs. All but the last
-return the columns of documents.
+return the columns of documents. In every stage null texts are empty ones, rows are told apart by a
+key of their own, so that doc_ids may be null or repeated, other columns may have any names, and an
+empty table gives an empty one.
 """
 from __future__ import annotations
 
@@ -13,17 +15,17 @@ from brookmart.llm.common import materialise, table
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are neither toxic nor of low quality."""
+    """Documents that are neither toxic nor of low quality, each judged by its own text."""
     return quality.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest doc_id."""
+    """Of equal texts exactly one row, that with the smallest doc_id; a null doc_id is the largest."""
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the one with the smallest doc_id."""
+    """Of each group of near copies one row, that with the smallest doc_id; rows without a doc_id stay."""
     return near_copies.drop_near_copies(docs)
 
 
