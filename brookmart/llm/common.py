@@ -28,9 +28,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """row, a key of its own for every row, and doc, the row as a struct; written, so that all reads see
-    the same keys. No column name of `docs` can clash with what an operator adds."""
-    return materialise(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")), "keyed")
+    """row, a key of its own for every row, and doc, the row as a struct: no column name of `docs` can
+    clash with what an operator adds.
+
+    Rows are numbered by scan task and place. A table that is read from files as it is (a relation
+    and nothing above it) is split and numbered in the same way by each read, so it is not copied;
+    any other DataFrame is written, so that all reads see the same keys.
+    """
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc"))
+    plain = docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation" and bool(docs.inputFiles())
+    return numbered if plain else materialise(numbered, "keyed")
 
 
 def whole_text(df: DataFrame, column: str = "text") -> DataFrame:

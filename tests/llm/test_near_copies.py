@@ -1,8 +1,12 @@
 """The pipeline's near copies against plain Python."""
 import random
 
-from brookmart.llm import near_copies
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from brookmart.llm import exact_dedup, near_copies, quality, simhash
 
 
 def near_texts():
@@ -61,11 +65,79 @@ def test_near_copies_of_the_pipeline(spark):
     assert near_copies.drop_near_copies(docs.limit(0)).count() == 0
 
 
-def test_sketches_of_like_sets_agree():
+def test_blocks_of_a_shard_give_the_same_groups(spark):
+    rows = near_texts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.monotonically_increasing_id())
+    whole, cut = ({tuple(r) for r in near_copies.groups(near_copies.materialise(docs, "d"), block=b).collect()} for b in (8192, 100))
+    assert whole == cut
+
+
+def test_sketches_reject_no_similar_sets():
+    """The count of places that differ is never above that of the shingles, and nearly it for short texts."""
     r = random.Random(4)
     words = [str(r.random()) for _ in range(5000)]
-    base = [r.choice(words) for _ in range(500)]
-    other = base[:470] + [r.choice(words) for _ in range(30)]
-    differ = (near_copies.sketch(near_copies.shingles(" ".join(base), 5)) ^ near_copies.sketch(near_copies.shingles(" ".join(other), 5))) % 2 ** 64
-    unlike = (near_copies.sketch(near_copies.shingles(" ".join(base), 5)) ^ near_copies.sketch(near_copies.shingles(" ".join(words), 5))) % 2 ** 64
-    assert differ.bit_count() <= near_copies.SKETCH < unlike.bit_count()
+    for size in (8, 40, 150, 2000):
+        base = [r.choice(words) for _ in range(size)]
+        other = list(base)
+        for _ in range(max(1, size // 60)):
+            other[r.randrange(size)] = r.choice(words)
+        one, two = (near_copies.shingles(" ".join(t), 5) for t in (base, other))
+        x, y = (np.frombuffer(near_copies.sketch(h), dtype=np.uint8) for h in (one, two))
+        half = near_copies.PLACES // 8
+        lone = int(np.bitwise_count(x[:half] ^ y[:half]).sum())
+        apart = int(np.bitwise_count((x[half:] ^ y[half:]) & x[:half] & y[:half]).sum())
+        true = len(np.setxor1d(one, two))
+        assert lone + apart <= true
+        assert size > 40 or lone + apart >= 0.5 * true
+        assert apart <= near_copies.BITS_APART
+
+
+def short_group(n):
+    """Short texts two words apart from each other: some pairs are similar, most are nearly so."""
+    r = random.Random(n)
+    base = [f"w{i}" for i in range(40)]
+    texts = []
+    for _ in range(n):
+        other = list(base)
+        other[r.randrange(40)] = f"x{r.randrange(9)}"
+        texts.append(" ".join(other))
+    return list(enumerate(texts))
+
+
+def test_a_group_of_short_texts_gives_few_links(spark):
+    """What a task returns grows with the nodes, not with their pairs; nothing is lost by it."""
+    returned = []
+    for n in (150, 300):
+        rows = short_group(n)
+        docs = near_copies.materialise(spark.createDataFrame(rows, "row long, text string").selectExpr("row", "row as doc_id", "text"), "d")
+        got = {r.row: r.keep_row for r in near_copies.groups(docs).collect()}
+        true = want(rows)
+        assert all(true[d] == true[k] for d, k in got.items())
+        assert sum(d == k for d, k in got.items()) <= 1.02 * sum(d == k for d, k in true.items()) + 1
+        nodes = near_copies.marks(docs, 5).select(F.col("row").alias("rep"), "fp", "sketch", "size")
+        parts = simhash.plan(near_copies.materialise(nodes, "n"), 14, (5,))
+        returned.append(near_copies.candidates(nodes, parts, 14, 0.8, 4, 8192).count())
+    assert returned[0] < 150 * 20 and returned[1] < 2.5 * returned[0] + 50
+
+
+CLASHING = ("words", "block", "slots", "maybe", "row", "held", "key", "doc", "size", "fp", "keep_row", "h")
+
+
+@pytest.mark.parametrize("stage", ["quality", "exact_dedup", "near_dedup"])
+def test_stages_drop_rows_not_ids(spark, stage):
+    """Repeated and null doc_ids, columns with the operators' own names: a text goes only for its own copy."""
+    say = " ".join(f"word{i}" for i in range(50))
+    rows = [(1, "a"), (5, "a"), (5, "b"), (None, "b"), (None, "c"), (None, "c"), (2, say), (2, say + " more"), (2, "other text"), (2, "other text"), (9, None), (9, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long").withColumns({c: F.lit(7) for c in CLASHING})
+    kept = {"quality": lambda: quality.keep_clean(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int")),
+            "exact_dedup": lambda: exact_dedup.drop_copies(docs), "near_dedup": lambda: near_copies.drop_near_copies(docs)}[stage]()
+    assert kept.columns == docs.columns and all(r.maybe == 7 and r.block == 7 for r in kept.collect())
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    if stage == "quality":
+        assert got == sorted(rows, key=repr)
+        return
+    named = [t or "" for d, t in got if d is not None or stage == "exact_dedup"]
+    texts = {t or "" for d, t in rows if (d is not None or stage == "exact_dedup") and not (stage == "near_dedup" and t == say + " more")}
+    assert sorted(texts) == sorted(named)  # one row of each
+    assert (1, "a") in got and (5, "b") in got and (5, "a") not in got
+    assert got.count((None, "b")) == (stage == "near_dedup")
