@@ -118,3 +118,22 @@ def test_branches_reach_the_scan(spark, tmp_path):
               "cast(null as map<string,string>) old, 1L ts").write.parquet(path)
     plan = plan_of(branch(spark.read.parquet(path), "t", "insert", ["id"]))
     assert "EqualTo(table,t)" in plan and "EqualTo(type,insert)" in plan and "old" not in plan.split("ReadSchema")[1]
+
+
+def test_hot_visitor_of_a_stream_is_spread_over_tasks(spark, no_broadcast, tmp_path):
+    """A visitor with a third of a batch: one row of it is stored, its rows are joined in slices, days are ranked in pieces."""
+    from brookmart.streaming import visitors
+    rows = hot_rows(spark).selectExpr("map('mid', mid, 'is_new', cast(id % 2 as string), 'pad', pad) as common", "ts % 86400000 as ts")
+    results = visitors.fix_is_new_deltas(str(tmp_path / "v"))
+    for batch_id in (0, 1):
+        fixed = results(rows, batch_id)
+        where = fixed.select(F.col("common")["mid"].alias("mid"), F.spark_partition_id().alias("p"))
+        assert where.filter("mid = 'hot'").select("p").distinct().count() > 2
+        assert sorted(map(repr, fixed.collect())) == sorted(map(repr, logs.fix_is_new(rows).select(*fixed.columns).collect()))
+    stored = spark.read.parquet(str(tmp_path / "v/tail/batch=0"))
+    assert stored.count() == 1001 and stored.filter("_visitor = 'hot'").count() == 1
+    first = visitors.first_of_day_deltas(str(tmp_path / "d"), ["mid"], flag="uv")
+    plain = hot_rows(spark).select("mid", F.expr("ts % 86400000 as ts"))
+    assert first(plain, 0).agg(F.sum("uv")).first()[0] == plain.select("mid").distinct().count()
+    assert first(plain, 1).agg(F.sum("uv")).first()[0] == 0
+    assert first(plain, 0).agg(F.sum("uv")).first()[0] == plain.select("mid").distinct().count()  # run again
