@@ -172,11 +172,13 @@ def hard_negatives(rows: DataFrame, every: int = 50, k_positives: int = 5, k_neg
     the same number of components. Scores must fit 64 bits. An empty table gives an empty result.
     """
     labelled = rows.where(F.col(label).isNotNull()).select(F.col(id_column).alias("vec_id"), F.col(vector).alias("x"), F.col(label).cast("long").alias("label"))
-    fit = materialise(integer_vectors(labelled, "vec_id", "x", scale, "label").where("size(v) > 0"), "vectors")
+    numbered = integer_vectors(labelled, "vec_id", "x", scale, "label").where("size(v) > 0").withColumn("number", F.monotonically_increasing_id())
+    fit = materialise(numbered, "vectors")
     total = fit.count()
     slots = rows.sparkSession.sparkContext.defaultParallelism
     shards = max(1, -(-total // shard_rows), min(slots, total // 2048))
-    dealt = fit.select("vec_id", "label", "v", F.size("v").alias("width"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int").alias("shard"))
+    # Dealt by number: shards are equal, also where one id or vector is on very many rows.
+    dealt = fit.select("vec_id", "label", "v", F.size("v").alias("width"), F.pmod("number", F.lit(shards)).cast("int").alias("shard"))
     anchors = fit.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min(F.struct("label", "v")).alias("own")).select(
         "vec_id", "own.label", "own.v", F.size("own.v").alias("width"))
 

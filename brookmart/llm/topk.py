@@ -137,12 +137,14 @@ def top_k(rows: DataFrame, k: int = 10, every: int = 100, id_column: str = "vec_
     Vectors without components and empty tables give no rows. Scores must fit 64 bits. A task compares
     `block` queries at a time with the nodes of a shard.
     """
-    fit = materialise(integer_vectors(rows, id_column, vector, scale).where("size(v) > 0"), "vectors")
+    numbered = integer_vectors(rows, id_column, vector, scale).where("size(v) > 0").withColumn("number", F.monotonically_increasing_id())
+    fit = materialise(numbered, "vectors")
     total = fit.count()
     slots = rows.sparkSession.sparkContext.defaultParallelism
     shards = max(1, -(-total // shard_rows), min(slots, total // 2048))
     width = F.size("v").alias("width")
-    candidates = fit.select("vec_id", "v", width, F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int").alias("shard"))
+    # Dealt by number: shards are equal, also where one id or vector is on very many rows.
+    candidates = fit.select("vec_id", "v", width, F.pmod("number", F.lit(shards)).cast("int").alias("shard"))
     queries = fit.where(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"])
     queries = queries.select("vec_id", "v", width, F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(shards)).cast("int").alias("home"))
     lowest = -(1 << 63)

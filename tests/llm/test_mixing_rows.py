@@ -23,3 +23,16 @@ def test_rows_without_a_doc_id_of_their_own(spark):
     assert out == want
     assert all(per_text[t] <= 2 * n for t, n in held.items())
     assert {t for t in held if int(t[1:]) % 5 == 0} & set(per_text)
+
+
+def test_a_tiny_source_makes_only_its_own_blocks_small(spark):
+    """One source of a few words beside large ones: their documents are not cut into single words."""
+    rows = [(i, " ".join(["w"] * 400), "abc"[i % 3]) for i in range(600)] + [(1000 + i, "one two", "d") for i in range(3)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for source in "abcd":
+        own = [r for r in out if r.source == source]
+        took, target = sum(r.taken for r in own), own[0].target
+        assert abs(took - target) <= max(8, 0.01 * target)
+        if source != "d":
+            assert max(len(r.spans) for r in own) <= 4
+    assert all(r.taken <= 2 * r.size for r in out)
