@@ -581,7 +581,7 @@ def stream_keyed_table(spark, t):
     """The newest version of each detail, in a table that folds its batches while readers keep its path."""
     folder = work_folder(spark, "table")
     details = V.sku_details(_stream_of(spark, t, "lineitem"))
-    table = KeyedTable(f"{folder}/table", details.schema, ["id"], V.VERSION, fold_every=2)
+    table = KeyedTable(f"{folder}/table", details.schema, ["id"], V.VERSION, across=True, fold_every=2)
     _run(details, table.upsert, folder)
     return table.current(spark)
 

@@ -137,17 +137,19 @@ class Store:
 class KeyedTable(Store):
     """Current rows by key: upserts and, by a true `_deleted`, deletes.
 
-    `order` orders the changes of a key within a batch (else one of them counts). Reads aggregate the
-    base, which has a row for each key, and the batches after it; folding keeps deletes, so that an older
-    batch that is run again stays outranked. Readers keep the path of the table.
+    `order` orders the changes of a key within a batch (else one of them counts), and with `across` also
+    those of different batches; without it the later batch counts. Reads aggregate the base, which has
+    a row for each key, and the batches after it; folding keeps deletes, so that an older batch that is
+    run again stays outranked. Readers keep the path of the table.
     """
 
-    def __init__(self, path, schema, keys, order=(), buckets=32, fold_every=20):
+    def __init__(self, path, schema, keys, order=(), across=False, buckets=32, fold_every=20):
         super().__init__(path, schema, keys, buckets)
         self.order, self.fold_every = [order] if isinstance(order, str) else list(order), fold_every
+        self.rank = [*self.order, "batch_id"] if across else ["batch_id", *self.order]
 
     def _newest(self, rows):
-        return latest_per_key(rows, self.keys, ["batch_id", *self.order], drop_deleted=False)
+        return latest_per_key(rows, self.keys, self.rank, drop_deleted=False)
 
     def upsert(self, batch, batch_id):
         """Batch writer: the newest change of each key."""
@@ -158,7 +160,7 @@ class KeyedTable(Store):
 
     def current(self, spark):
         """The newest row of every key that is not deleted."""
-        newest = latest_per_key(self.read(spark), self.keys, ["batch_id", *self.order])
+        newest = latest_per_key(self.read(spark), self.keys, self.rank)
         return newest.drop("batch_id", "bucket", "place")
 
     def among(self, spark, keys):
@@ -170,5 +172,5 @@ class KeyedTable(Store):
         rows = self.read(spark).where(F.col("place").between(F.lit(low), F.lit(high)))
         if len(buckets) < self.buckets:
             rows = rows.where(F.col("bucket").isin(buckets))
-        newest = latest_per_key(rows.join(asked.select("place"), "place", "left_semi"), self.keys, ["batch_id", *self.order])
+        newest = latest_per_key(rows.join(asked.select("place"), "place", "left_semi"), self.keys, self.rank)
         return newest.drop("batch_id", "bucket", "place")
