@@ -141,6 +141,25 @@ def sku_window(details, key, order, amounts, seconds=10, delay="0 seconds", ttl_
     return start_texts(sums, seconds)
 
 
+#: A window with more texts than so many is not left to one task.
+HOT_TEXTS = 20_000
+
+
+def text_window(events, split, seconds=5, hot_texts=HOT_TEXTS):
+    """Number of searches per word and window, of texts (`item`, `et`) that `split` turns into rows of `keyword`.
+
+    A text is a fraction of the size of its words as rows with a window each, so texts are shuffled by window and split behind
+    that, where all rows of a group lie together. Windows with over `hot_texts` texts are split first and
+    summed before their shuffle, as their words repeat. Batch only.
+    """
+    rows = events.filter("et is not null").select("item", window_start("unix_millis(et)", seconds).alias("_start"))
+    crowded = rows.groupBy("_start").count().filter(F.col("count") > hot_texts).agg(F.collect_set("_start")).scalar()
+    hot = F.array_contains(crowded, F.col("_start"))
+    counts = [split(part).groupBy("_start", "keyword").agg(F.count(F.lit(1)).alias("keyword_count"))
+              for part in (rows.filter(~hot).repartition("_start"), rows.filter(hot))]
+    return start_texts(counts[0].unionByName(counts[1]), seconds).select(*KEYWORD_WINDOW)
+
+
 def keyword_window(words, seconds=5):
     """Number of searches per word and window."""
     counts = words.groupBy(F.window("et", f"{seconds} seconds"), "keyword").agg(

@@ -35,5 +35,9 @@ def home_detail_window(page_log, seconds=10, **options):
 
 def keyword_window(page_log, seconds=5, segmenter=None):
     """Search words per window."""
-    words = split_keyword(search_events(page_log), "item", segmenter=segmenter)
-    return windows.keyword_window(words, seconds)
+    def split(rows):
+        return split_keyword(rows, "item", segmenter=segmenter)
+    events = search_events(page_log)
+    if events.isStreaming:
+        return windows.keyword_window(split(events), seconds)
+    return windows.text_window(events, split, seconds)
