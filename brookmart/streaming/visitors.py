@@ -55,7 +55,7 @@ def first_of_day_deltas(path, keys, ts="ts", flag="is_first", buckets=32, fold_e
             store.fold(spark, batch_id - 1, earliest)
         flagged = first_of_day(rows, keys, ts, "_mine").withColumn("_day", day_of(F.col(ts)))
         store.append(rows.select(*keys, day_of(F.col(ts)).alias("_day")).distinct(), batch_id)
-        fresh = earliest(store.around(spark, batch_id)).filter(F.col("batch_id") == batch_id).select(*[F.col(c).alias(f"_of_{c}") for c in (*keys, "_day")])
+        fresh = earliest(store.batch(spark, batch_id).unionByName(store.before(spark, batch_id))).filter(F.col("batch_id") == batch_id).select(*[F.col(c).alias(f"_of_{c}") for c in (*keys, "_day")])
         same = F.col("_mine") == 1  # one row a key and day is looked up, so no key is hot
         for c in (*keys, "_day"):
             same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
