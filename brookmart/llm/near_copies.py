@@ -9,8 +9,8 @@ least, two of them differ in at most its threshold.
 2. Probing: a partition's first bits are its shard, and a shard with many nodes is cut into blocks.
    Nodes are sent to the pairs of blocks whose shards the threshold allows, and values within the
    threshold are compared there, all with all. Pairs that a sketch rejects are done with. Of those
-   that are left a task returns a forest: fewer pairs than nodes. Its components are clusters;
-   all similar pairs lie within them.
+   that are left a pair of blocks gives a forest, fewer pairs than nodes, and so does a task for all of
+   its pairs of blocks. The components are clusters; all similar pairs lie within them.
 3. The nodes of clusters are sent once more, with their shingles, to the task of their cluster (a
    large one is cut into blocks, and its pairs of blocks are tasks), where close pairs are verified.
    Nodes that are joined already need no more comparing. A task returns a forest again.
@@ -176,7 +176,7 @@ def dealt(nodes: DataFrame, parts: list[tuple[list[int], int]], shard_bits: int,
 
 
 def candidates(nodes: DataFrame, parts: list[tuple[list[int], int]], distance: int, similarity: float, shard_bits: int, block: int) -> DataFrame:
-    """(a, b): in each pair of blocks a forest of the pairs that the sketch does not reject."""
+    """(a, b): pairs that the sketch does not reject, of each pair of blocks a forest, and of these one in each task."""
 
     def compare(table: pa.Table) -> pa.Table:
         part, one, two = (table[c][0].as_py() for c in ("part", "one", "two"))
@@ -187,7 +187,30 @@ def candidates(nodes: DataFrame, parts: list[tuple[list[int], int]], distance: i
         linked = label != np.arange(len(table))
         return pa.table([x.rep[linked], x.rep[label[linked]]], schema=PAIRS)
 
-    return dealt(nodes, parts, shard_bits, block).groupBy("part", "one", "two").applyInArrow(compare, "a long, b long").distinct()
+    found = dealt(nodes, parts, shard_bits, block).groupBy("part", "one", "two").applyInArrow(compare, "a long, b long")
+    return found.mapInArrow(forests, "a long, b long").distinct()
+
+
+def forests(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Of pairs (a, b) a forest with the same components, or several if it has over `most` of them."""
+    forest, more, waiting = np.zeros((0, 2), dtype=np.int64), [], 0
+
+    def merged() -> np.ndarray:
+        nodes, ends = np.unique(np.concatenate([forest, *more]), return_inverse=True)
+        label = np.arange(len(nodes))
+        join(label, *ends.reshape(-1, 2).T)
+        linked = label != np.arange(len(nodes))
+        return np.stack([nodes[linked], nodes[label[linked]]], axis=1)
+
+    for batch in batches:
+        more.append(np.stack([c.to_numpy() for c in batch.columns], axis=1))
+        waiting += batch.num_rows
+        if waiting > max(1 << 16, len(forest)):
+            forest, more, waiting = merged(), [], 0
+            if len(forest) > most:
+                yield pa.record_batch(list(forest.T), schema=PAIRS)
+                forest = forest[:0]
+    yield pa.record_batch(list(merged().T), schema=PAIRS)
 
 
 def verified(nodes: DataFrame, distance: int, similarity: float, block: int) -> DataFrame:

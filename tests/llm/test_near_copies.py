@@ -2,6 +2,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,6 +121,21 @@ def test_a_group_of_short_texts_gives_few_links(spark):
     assert returned[0] < 150 * 20 and returned[1] < 2.5 * returned[0] + 50
 
 
+def test_forests_keep_the_components():
+    """Links that pairs of blocks find again are not returned again, whatever the size of the batches."""
+    r = np.random.default_rng(3)
+    pairs = r.integers(0, 3000, (200_000, 2)) * 1000
+    pairs = pairs[(pairs[:, 0] // 1_000_000) == (pairs[:, 1] // 1_000_000)]  # three components, and nodes by themselves
+    for step, most in ((70_000, 1 << 20), (100, 1 << 20), (7000, 500)):
+        given = (pa.record_batch(list(pairs[i:i + step].T), schema=near_copies.PAIRS) for i in range(0, len(pairs), step))
+        out = pa.Table.from_batches(near_copies.forests(given, most)).to_pandas()
+        assert most < 1000 or len(out) == 3000 - 3
+        label = np.arange(3000)
+        near_copies.join(label, *(out[c].to_numpy() // 1000 for c in "ab"))
+        assert label.tolist() == [i // 1000 * 1000 for i in range(3000)]
+    assert sum(b.num_rows for b in near_copies.forests(iter([]))) == 0
+
+
 CLASHING = ("words", "block", "slots", "maybe", "row", "held", "key", "doc", "size", "fp", "keep_row", "h")
 
 
