@@ -9,8 +9,8 @@ least, two of them differ in at most its threshold.
 2. Probing: a partition's first bits are its shard, and a shard with many nodes is cut into blocks.
    Nodes are sent to the pairs of blocks whose shards the threshold allows, and values within the
    threshold are compared there, all with all. Pairs that a sketch rejects are done with. Of those
-   that are left a pair of blocks gives a forest, fewer pairs than nodes, and so does a task for all of
-   its pairs of blocks. The components are clusters; all similar pairs lie within them.
+   that are left a task, which has several small pairs of blocks or a large one, returns a forest: fewer
+   pairs than nodes. Its components are clusters; all similar pairs lie within them.
 3. The nodes of clusters are sent once more, with their shingles, to the task of their cluster (a
    large one is cut into blocks, and its pairs of blocks are tasks), where close pairs are verified.
    Nodes that are joined already need no more comparing. A task returns a forest again.
@@ -156,7 +156,7 @@ class Nodes:
 
 
 def dealt(nodes: DataFrame, parts: list[tuple[list[int], int]], shard_bits: int, block: int) -> DataFrame:
-    """`nodes` with part, here (its block) and the pairs of blocks (one, two) it is sent to."""
+    """`nodes` with part, here (its block), the pairs of blocks (one, two) it is sent to and their task, of about `block` rows or one pair."""
     sent = None
     for i, (bits, threshold) in enumerate(parts):
         own = bits[:shard_bits]
@@ -165,52 +165,41 @@ def dealt(nodes: DataFrame, parts: list[tuple[list[int], int]], shard_bits: int,
                             F.array(*[F.lit(f) for f in flips]).alias("flips"))
         sent = rows if sent is None else sent.unionByName(rows)
     # At most 2 ** shard_bits rows a partition.
-    sizes = materialise(sent.groupBy("part", "shard").count().select("part", "shard", F.ceil(F.col("count") / block).cast("long").alias("blocks")), "shards")
+    sizes = materialise(sent.groupBy("part", "shard", "flips").agg(F.count(F.lit(1)).alias("rows")).withColumn("blocks", F.ceil(F.col("rows") / block).cast("long")), "shards")
+    blocks = sizes.select("part", "shard", "blocks")
+    reached = sizes.select("part", "rows", F.explode(F.transform("flips", lambda f: F.col("shard").bitwiseXOR(f))).alias("shard")).join(F.broadcast(blocks), ["part", "shard"])
+    tasks = max(1, (reached.agg(F.sum(F.col("rows") * F.col("blocks"))).first()[0] or 0) // block)
     here = F.shiftleft(F.col("shard").cast("long"), 32) + F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    placed = sent.join(F.broadcast(sizes), ["part", "shard"]).withColumn("here", here)
+    placed = sent.join(F.broadcast(blocks), ["part", "shard"]).withColumn("here", here)
     other = placed.drop("blocks").withColumn("flip", F.explode("flips")).withColumn("other", F.col("shard").bitwiseXOR(F.col("flip")))
-    other = other.join(F.broadcast(sizes.toDF("part", "other", "blocks")), ["part", "other"])
+    other = other.join(F.broadcast(blocks.toDF("part", "other", "blocks")), ["part", "other"])
     both = other.withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn(
         "there", F.shiftleft(F.col("other").cast("long"), 32) + F.col("number"))
-    return both.select("part", F.least("here", "there").alias("one"), F.greatest("here", "there").alias("two"), "here", *nodes.columns)
+    pairs = both.select("part", F.least("here", "there").alias("one"), F.greatest("here", "there").alias("two"), "here", *nodes.columns)
+    return pairs.withColumn("task", F.pmod(F.xxhash64("part", "one", "two"), F.lit(tasks)))
 
 
 def candidates(nodes: DataFrame, parts: list[tuple[list[int], int]], distance: int, similarity: float, shard_bits: int, block: int) -> DataFrame:
-    """(a, b): pairs that the sketch does not reject, of each pair of blocks a forest, and of these one in each task."""
+    """(a, b): in each task a forest of the pairs that the sketch does not reject."""
 
     def compare(table: pa.Table) -> pa.Table:
-        part, one, two = (table[c][0].as_py() for c in ("part", "one", "two"))
-        x = Nodes(table, parts, part, distance, similarity)
-        label = np.arange(len(table))
-        for a, b in x.pairs(one, two, *parts[part]):
-            join(label, a, b)
-        linked = label != np.arange(len(table))
-        return pa.table([x.rep[linked], x.rep[label[linked]]], schema=PAIRS)
-
-    found = dealt(nodes, parts, shard_bits, block).groupBy("part", "one", "two").applyInArrow(compare, "a long, b long")
-    return found.mapInArrow(forests, "a long, b long").distinct()
-
-
-def forests(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Of pairs (a, b) a forest with the same components, or several if it has over `most` of them."""
-    forest, more, waiting = np.zeros((0, 2), dtype=np.int64), [], 0
-
-    def merged() -> np.ndarray:
-        nodes, ends = np.unique(np.concatenate([forest, *more]), return_inverse=True)
-        label = np.arange(len(nodes))
-        join(label, *ends.reshape(-1, 2).T)
-        linked = label != np.arange(len(nodes))
-        return np.stack([nodes[linked], nodes[label[linked]]], axis=1)
-
-    for batch in batches:
-        more.append(np.stack([c.to_numpy() for c in batch.columns], axis=1))
-        waiting += batch.num_rows
-        if waiting > max(1 << 16, len(forest)):
-            forest, more, waiting = merged(), [], 0
-            if len(forest) > most:
-                yield pa.record_batch(list(forest.T), schema=PAIRS)
-                forest = forest[:0]
-    yield pa.record_batch(list(merged().T), schema=PAIRS)
+        table = table.sort_by([(c, "ascending") for c in ("part", "one", "two")])
+        keys = np.stack([table[c].to_numpy() for c in ("part", "one", "two")], axis=1)
+        begins = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
+        reps, place = np.unique(table["rep"].to_numpy(), return_inverse=True)
+        label = np.arange(len(reps))
+        for begin, end in zip(begins.tolist(), np.append(begins[1:], len(keys)).tolist()):
+            part, one, two = keys[begin].tolist()
+            x = Nodes(table.slice(begin, end - begin), parts, part, distance, similarity)
+            own = np.arange(end - begin)
+            for a, b in x.pairs(one, two, *parts[part]):
+                join(own, a, b)
+            linked = np.flatnonzero(own != np.arange(end - begin))
+            join(label, place[begin + linked], place[begin + own[linked]])
+        linked = label != np.arange(len(reps))
+        return pa.table([reps[linked], reps[label[linked]]], schema=PAIRS)
+
+    return dealt(nodes, parts, shard_bits, block).groupBy("task").applyInArrow(compare, "a long, b long").distinct()
 
 
 def verified(nodes: DataFrame, distance: int, similarity: float, block: int) -> DataFrame:

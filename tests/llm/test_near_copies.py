@@ -121,19 +121,22 @@ def test_a_group_of_short_texts_gives_few_links(spark):
     assert returned[0] < 150 * 20 and returned[1] < 2.5 * returned[0] + 50
 
 
-def test_forests_keep_the_components():
-    """Links that pairs of blocks find again are not returned again, whatever the size of the batches."""
-    r = np.random.default_rng(3)
-    pairs = r.integers(0, 3000, (200_000, 2)) * 1000
-    pairs = pairs[(pairs[:, 0] // 1_000_000) == (pairs[:, 1] // 1_000_000)]  # three components, and nodes by themselves
-    for step, most in ((70_000, 1 << 20), (100, 1 << 20), (7000, 500)):
-        given = (pa.record_batch(list(pairs[i:i + step].T), schema=near_copies.PAIRS) for i in range(0, len(pairs), step))
-        out = pa.Table.from_batches(near_copies.forests(given, most)).to_pandas()
-        assert most < 1000 or len(out) == 3000 - 3
-        label = np.arange(3000)
-        near_copies.join(label, *(out[c].to_numpy() // 1000 for c in "ab"))
-        assert label.tolist() == [i // 1000 * 1000 for i in range(3000)]
-    assert sum(b.num_rows for b in near_copies.forests(iter([]))) == 0
+@pytest.mark.parametrize("block", [8192, 400])
+def test_a_task_of_several_pairs_of_blocks_returns_one_forest(spark, block):
+    """Links that the pairs of blocks of a task find again are not returned again; the clusters stay the same."""
+    docs = near_copies.materialise(spark.createDataFrame(short_group(150), "row long, text string").selectExpr("row", "row as doc_id", "text"), "d")
+    nodes = near_copies.materialise(near_copies.marks(docs, 5).select(F.col("row").alias("rep"), "fp", "sketch", "size"), "n")
+    parts = simhash.plan(nodes, 14, (5,))
+    tasks = near_copies.dealt(nodes, parts, 4, block).select("task").distinct().count()
+    found = near_copies.candidates(nodes, parts, 14, 0.8, 4, block).toPandas()
+    assert tasks == 1 if block == 8192 else 4 < tasks < 30
+    assert len(found) < 150 * tasks
+    rows = nodes.toArrow().append_column("here", pa.array([0] * 150, pa.int32()))
+    every = near_copies.Nodes(rows, [], 0, 14, 0.8)
+    label, true = np.arange(150), np.arange(150)
+    near_copies.join(true, *(every.rep[i] for i in every.close(*2 * [np.arange(150)])))
+    near_copies.join(label, *(found[c].to_numpy() for c in "ab"))
+    assert label.tolist() == true.tolist()
 
 
 CLASHING = ("words", "block", "slots", "maybe", "row", "held", "key", "doc", "size", "fp", "keep_row", "h")
