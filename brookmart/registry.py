@@ -20,6 +20,7 @@ from brookmart.sources import topics
 from brookmart.sources.tables import dictionary
 from brookmart.sinks.tables import apply_rule_ddl
 from brookmart.streaming import visitors
+from brookmart.streaming.closing import ClosedWindows
 from brookmart.streaming.jobs import (dims_to, looked_up, read_dims, records_to, routed_to,
                                      rows_to, rule_tables_to, rule_views_to, run_stream, upsert_to)
 
@@ -602,9 +603,16 @@ def stream_sku_order(spark, t):
 
 @query
 def stream_keyword_window(spark, t):
-    feed = Feed(spark)
-    pages = feed.stream(V.search_pages(t).drop("et"), work_folder(spark, "search"), "ts", {"ts": "_last + 86400000"})
-    return drain(spark, traffic.keyword_window(with_event_time(pages)), "keywords", feed=feed)
+    """A window is written when event time has passed it; a last row closes those that are open."""
+    folder, feed = work_folder(spark, "search"), Feed(spark)
+    pages = feed.stream(V.search_pages(t).drop("et"), f"{folder}/pages", "ts", {"ts": "_last + 86400000"})
+    windows_of = ClosedWindows(f"{folder}/open", with_event_time(pages, delay=None).schema, 5)
+
+    def write(batch, batch_id):
+        rows_to(f"{folder}/out")(traffic.keyword_window(windows_of.closed(with_event_time(batch, delay=None), batch_id)), batch_id)
+
+    feed.run(pages, write, folder)
+    return _written(spark, folder)
 
 
 @query

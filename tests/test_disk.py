@@ -5,10 +5,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from brookmart import registry
+from brookmart.functions.text import split_keyword
+from brookmart.functions.timecols import with_event_time
+from brookmart.operators import windows
 from brookmart.operators.joins import fact_join
+from brookmart.schemas import KEYWORD_WINDOW
 from brookmart.sinks import store
+from brookmart.streaming.closing import ClosedWindows
 from brookmart.streaming.deltas import DeltaJoin
-from brookmart.streaming.jobs import run_stream
+from brookmart.streaming.jobs import rows_to, run_stream
 from helpers import rows_of
 
 
@@ -88,3 +93,36 @@ def test_slices_hold_every_order_once_with_its_items(spark, tmp_path):
     assert sorted(sum((x for _, x in found), []), key=repr) == sorted(lines, key=repr)
     for o, x in found:
         assert not ({k for k, _ in x} & {k for other, _ in found if other is not o for (k,) in other})
+
+
+def test_windows_that_event_time_closes_equal_sparks(spark, tmp_path):
+    """Each file is a batch. "b" comes late for its window, "c" in time for its own; that of "e" is never closed."""
+    batches = [[("a x", 1_000), ("a", 2_000)], [("x", 4_999), ("z", None), ("q", 12_000)], [("b", 3_000), ("c", 13_000), ("q q", 12_500), (None, 14_000)],
+               [("late", 1)], [], [("end", 41_000)], [("d", 43_000), ("e", 90_000)]]
+    schema = "item string, ts bigint"
+    source = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    words = lambda rows: split_keyword(rows, "item")
+    (tmp_path / "in").mkdir()
+    for i, rows in enumerate(batches):  # each is drained by itself, so that Spark closes its windows before the next comes
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"w{i}"))
+        for f in (tmp_path / f"w{i}").glob("*.parquet"):
+            os.utime(f, (1_000_000 + i, 1_000_000 + i))
+            f.rename(tmp_path / "in" / f"{i}.parquet")
+        run_stream(windows.keyword_window(words(with_event_time(source())), 5), rows_to(str(tmp_path / "spark")), str(tmp_path / "c1"), drain=True).awaitTermination()
+    expected = rows_of(spark.read.parquet(str(tmp_path / "spark")), *KEYWORD_WINDOW)
+
+    closing = ClosedWindows(str(tmp_path / "open"), with_event_time(spark.createDataFrame([], schema)).schema, 5, buckets=2, fold_every=2)
+    given = []
+
+    def write(batch, batch_id):
+        rows = with_event_time(batch, delay=None)
+        again = [rows_of(windows.text_window(closing.closed(rows, batch_id), words, 5), *KEYWORD_WINDOW) for _ in range(2)]
+        assert again[0] == again[1]
+        given.append(again[0])
+
+    run_stream(source(), write, str(tmp_path / "c2"), drain=True).awaitTermination()
+    assert sorted(sum(given, []), key=repr) == expected
+    assert len(given) == len(batches) and given[1] and not given[0] and len(set(sum(given, []))) == len(sum(given, []))
+    assert [r[3:] for r in expected if r[3] in "abcdx"] == [("a", 2), ("x", 2), ("c", 1), ("d", 1)]
+    waiting = closing.store.read(spark, replay=7).where("batch_id = 6")
+    assert rows_of(waiting, "item") == [("e",)]
