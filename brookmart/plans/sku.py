@@ -1,7 +1,9 @@
 """Order amounts by product and window, with the product's dimensions."""
 from __future__ import annotations
 
-from brookmart.operators.joins import SKU_CHAIN, enrich_snowflake
+from pyspark.sql import functions as F
+
+from brookmart.operators.joins import SKU_CHAIN, enrich_snowflake, lookup_left
 from brookmart.operators.retract import to_amounts
 from brookmart.operators.windows import sku_window, start_texts, window_start
 from brookmart.schemas import SKU_AMOUNTS, SKU_ORDER_WINDOW
@@ -31,8 +33,15 @@ def sku_sums_deltas(path, order, seconds=10, **options):
 
 
 def with_products(sums, dims):
-    """The sums with the dimensions of their products."""
-    return enrich_snowflake(sums, dims, SKU_CHAIN).select(*SKU_ORDER_WINDOW)
+    """The sums with the dimensions of their products.
+
+    The chain runs over the products and not over their windows, which are many more: a row of sums is looked up once.
+    """
+    name, key, dim_key, columns = SKU_CHAIN[0]
+    products = dims[name].select(F.col(dim_key).alias("_product"), *[F.col(source).alias(c) for source, c in columns.items()])
+    products = enrich_snowflake(products, dims, SKU_CHAIN[1:])
+    found = {c: c for c in products.columns if c != "_product"}
+    return lookup_left(sums, products, key, "_product", found).select(*SKU_ORDER_WINDOW)
 
 
 def sku_order_window(details, dims, order, seconds=10, **options):

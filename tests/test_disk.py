@@ -8,8 +8,9 @@ from brookmart import registry
 from brookmart.functions.text import split_keyword
 from brookmart.functions.timecols import with_event_time
 from brookmart.operators import windows
-from brookmart.operators.joins import fact_join
-from brookmart.schemas import KEYWORD_WINDOW
+from brookmart.operators.joins import SKU_CHAIN, enrich_snowflake, fact_join
+from brookmart.plans import sku
+from brookmart.schemas import KEYWORD_WINDOW, SKU_ORDER_WINDOW
 from brookmart.sinks import store
 from brookmart.streaming.closing import ClosedWindows
 from brookmart.streaming.deltas import DeltaJoin
@@ -126,3 +127,28 @@ def test_windows_that_event_time_closes_equal_sparks(spark, tmp_path):
     assert [r[3:] for r in expected if r[3] in "abcdx"] == [("a", 2), ("x", 2), ("c", 1), ("d", 1)]
     waiting = closing.store.read(spark, replay=7).where("batch_id = 6")
     assert rows_of(waiting, "item") == [("e",)]
+
+
+def test_products_are_looked_up_once_for_all_their_windows(spark):
+    """The chain of look-ups runs over the products; rows, with repeated, missing and null keys, are those of the chain over the sums."""
+    text = lambda rows, names: spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names.split()))
+    dims = {"dim_sku_info": text([("1", "n1", "s1", "t1", "c1"), ("1", "n1b", None, "t2", "c1"), ("2", "n2", "s1", None, "cx"), (None, "n", "s1", "t1", "c1")],
+                                 "id sku_name spu_id tm_id category3_id"),
+            "dim_spu_info": text([("s1", "spu"), ("s1", "spu again")], "id spu_name"), "dim_base_trademark": text([("t1", "tm"), (None, "tm0")], "id tm_name"),
+            "dim_base_category3": text([("c1", "c", "d1")], "id name category2_id"), "dim_base_category2": text([("d1", "d", "e1")], "id name category1_id"),
+            "dim_base_category1": text([("e1", "e")], "id name")}
+    amounts = [c for c in SKU_ORDER_WINDOW if c.endswith("amount")]
+    sums = text([("w1", "1"), ("w2", "1"), ("w1", "2"), ("w1", "3"), ("w1", None)], "stt sku_id").select(
+        "*", F.lit("e").alias("edt"), F.lit("d").alias("cur_date"), *[F.lit(1).cast("decimal(38,4)").alias(c) for c in amounts])
+    found, chain = sku.with_products(sums, dims), enrich_snowflake(sums, dims, SKU_CHAIN).select(*SKU_ORDER_WINDOW)
+    assert rows_of(found, *SKU_ORDER_WINDOW) == rows_of(chain, *SKU_ORDER_WINDOW) and found.count() == 2 * 3 + 2 + 2
+    joins = lambda df: str(df._jdf.queryExecution().optimizedPlan().children().apply(0).children().apply(0).toString()).count("Join LeftOuter")
+    assert joins(found) == 0 and joins(chain) > 0  # on the side of the sums
+
+
+def test_a_delta_join_stores_its_key_once(spark, tmp_path):
+    sides = {"a": spark.createDataFrame([("x", 1)], "ka string, v int"), "b": spark.createDataFrame([("x", 2)], "kb string, w int")}
+    delta = DeltaJoin(str(tmp_path / "j"), sides, {"a": {"k": "ka"}, "b": {"k": "kb"}}, lambda s: fact_join(s["a"], s["b"], [("ka", "kb")]),
+                      newest={"a": ["ka"]}, buckets=2, fold_every=1)
+    assert [rows_of(delta.results(sides, n), "ka", "v", "w") for n in range(3)] == [[("x", 1, 2)], [("x", 1, 2)] * 2, [("x", 1, 2)] * 3]
+    assert spark.read.parquet(str(tmp_path / "j/base/upto=1")).columns == ["side", "a", "b", "batch_id", "bucket", "place"]
